@@ -16,8 +16,9 @@ OUTBOX_MIN_SEVERITY = 3
 SEVERITY_NAMES = {3: "MEDIO", 4: "ALTO", 5: "CRITICO"}
 
 
-def stock_by_destination(ships: DataFrame) -> DataFrame:
-    return ships.groupBy(F.col("dest_port").alias("via_port")).agg(
+def stock_by_destination(rows: DataFrame) -> DataFrame:
+    """Lowest stock and reorder level per destination, from positions or from sailed pairs."""
+    return rows.groupBy(F.col("dest_port").alias("via_port")).agg(
         F.min("stock_on_hand").alias("stock_on_hand_min"), F.min("reorder_point").alias("reorder_point")
     )
 

@@ -347,7 +347,7 @@ def route_map(routes: DataFrame, ports: DataFrame, alerts: DataFrame) -> DataFra
     )
 
 
-def corridor_pairs(ports: DataFrame, ships: DataFrame, hub: str = "Valladolid", hub_lat: float = 41.6528,
+def corridor_pairs(ports: DataFrame, pairs: DataFrame, hub: str = "Valladolid", hub_lat: float = 41.6528,
                    hub_lon: float = -4.7246) -> DataFrame:
     """Lines from every origin hub to every destination port and to the warehouse, with sailed positions.
 
@@ -367,7 +367,7 @@ def corridor_pairs(ports: DataFrame, ships: DataFrame, hub: str = "Valladolid",
             route_name(F.col("port_name"), F.col("_d.port_name")).alias("route_name"),
         )
     )
-    sailed = ships.groupBy("origin_port", "dest_port").agg(F.count("*").alias("positions"))
+    sailed = pairs.select("origin_port", "dest_port", "positions")
     return lines.join(sailed, ["origin_port", "dest_port"], "left").withColumn(
         "positions", F.coalesce("positions", F.lit(0))
     )

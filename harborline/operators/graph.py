@@ -58,36 +58,47 @@ def hops(edges: DataFrame, vertices: DataFrame, landmark: str, direction: str =
 
 
 def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight") -> DataFrame:
-    """Lowest total cost from ``source`` to every reachable node, with the previous node on that path.
+    """Lowest total cost from ``source`` to every reachable node: ``node_id, cost, hops, previous``.
 
-    Only nodes that got cheaper in the last round are expanded. Costs must not be negative. Equal
-    costs keep the smallest previous node.
+    Of equally cheap paths the one with fewest edges counts, then the smallest previous node, so the
+    result does not depend on the order of rounds. Only nodes that improved in the last round are
+    expanded. Costs must not be negative.
     """
     links = cut_lineage(edges.select("src", "dst", F.col(cost).alias("cost")).filter(F.col("cost").isNotNull()))
-    spark = edges.sparkSession
+
+    def label(total: Column, hops: Column) -> Column:
+        return F.struct(total.alias("cost"), hops.alias("hops")).alias("label")
+
     best = cut_lineage(
-        spark.range(1).select(
-            F.lit(source).alias("node_id"), F.lit(0.0).alias("cost"), F.lit(None).cast("string").alias("previous")
-        )
+        edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), label(F.lit(0.0), F.lit(0)))
     )
     frontier = best
     while True:
-        offer = F.struct((F.col("f.cost") + F.col("l.cost")).alias("cost"), F.col("l.src").alias("previous"))
         offers = (
-            frontier.alias("f")
-            .join(links.alias("l"), F.col("f.node_id") == F.col("l.src"))
-            .groupBy(F.col("l.dst").alias("node_id"))
-            .agg(F.min(offer).alias("offer"))
+            frontier.join(links, F.col("node_id") == F.col("src"))
+            .select("dst", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1))
+            .groupBy(F.col("dst").alias("node_id"))
+            .agg(F.min("label").alias("label"))
         )
         improved = cut_lineage(
-            offers.join(best.select("node_id", F.col("cost").alias("known")), "node_id", "left")
-            .filter(F.col("known").isNull() | (F.col("offer.cost") < F.col("known")))
-            .select("node_id", "offer.cost", "offer.previous")
+            offers.join(best.select("node_id", F.col("label").alias("known")), "node_id", "left")
+            .filter(F.col("known").isNull() | (F.col("label") < F.col("known")))
+            .drop("known")
         )
         if improved.isEmpty():
-            return best
+            break
         best = cut_lineage(best.join(improved, "node_id", "left_anti").unionByName(improved))
         frontier = improved
+    start = best.select(F.col("node_id").alias("src"), F.col("label").alias("before"))
+    end = best.select(F.col("node_id").alias("dst"), F.col("label").alias("after"))
+    on_path = (F.col("before.cost") + F.col("cost") == F.col("after.cost")) & (
+        F.col("before.hops") + 1 == F.col("after.hops")
+    )
+    previous = (
+        links.join(start, "src").join(end, "dst").filter(on_path)
+        .groupBy(F.col("dst").alias("node_id")).agg(F.min("src").alias("previous"))
+    )
+    return best.join(previous, "node_id", "left").select("node_id", "label.cost", "label.hops", "previous")
 
 
 def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataFrame:

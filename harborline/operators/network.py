@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,20 +16,32 @@ HUB = "Valladolid"
 INLAND_HOURS = 8.0
 
 
-def mean_severity(clima: DataFrame, noticias: DataFrame) -> Column:
-    """Average severity over both alert sets as a scalar, 0.0 without alerts."""
-    both = clima.select("severity").unionByName(noticias.select("severity"))
-    return F.coalesce(both.agg(F.avg("severity")).scalar(), F.lit(0.0))
+def mean_severity(*alert_sets: DataFrame) -> Column:
+    """Average severity over all alert sets (weather, news) as a scalar, 0.0 without alerts."""
+    all_alerts = reduce(DataFrame.unionByName, [alerts.select("severity") for alerts in alert_sets])
+    return F.coalesce(all_alerts.agg(F.avg("severity")).scalar(), F.lit(0.0))
+
+
+def sailed_pairs(ships: DataFrame) -> DataFrame:
+    """Per port pair: mean speed and lowest stock figures, in one pass over the positions.
+
+    Edges, alerts and traffic all start from these few rows.
+    """
+    return ships.groupBy("origin_port", "dest_port").agg(
+        F.avg("speed_kn").alias("avg_speed_kn"),
+        F.min("stock_on_hand").alias("stock_on_hand"),
+        F.min("reorder_point").alias("reorder_point"),
+        F.count("*").alias("positions"),
+    )
 
 
-def sea_edges(ships: DataFrame, ports: DataFrame) -> DataFrame:
+def sea_edges(pairs: DataFrame, ports: DataFrame) -> DataFrame:
     """``src, dst, weight`` (hours) per sailed port pair, from the mean speed of its positions."""
-    speed = ships.groupBy("origin_port", "dest_port").agg(F.avg("speed_kn").alias("avg_speed_kn"))
     src = small(ports.select(F.col("port_name").alias("origin_port"), F.col("lat").alias("olat"), F.col("lon").alias("olon")))
     dst = small(ports.select(F.col("port_name").alias("dest_port"), F.col("lat").alias("dlat"), F.col("lon").alias("dlon")))
     km = planar_km(F.col("olat"), F.col("olon"), F.col("dlat"), F.col("dlon"))
     return (
-        speed.join(src, "origin_port")
+        pairs.join(src, "origin_port")
         .join(dst, "dest_port")
         .select(F.col("origin_port").alias("src"), F.col("dest_port").alias("dst"),
                 transit_hours(km, F.col("avg_speed_kn")).alias("weight"))
@@ -44,9 +58,9 @@ def network_edges(sea: DataFrame, hub: str = HUB, inland_hours: float = INLAND_H
     return edges.unionByName(extra) if extra is not None else edges
 
 
-def network_vertices(ships: DataFrame, hub: str = HUB) -> DataFrame:
-    """Ports seen as origin or destination, plus the hub. One scan: each row offers both ends."""
-    seen = ships.select(F.explode(F.array("origin_port", "dest_port")).alias("id")).distinct()
+def network_vertices(pairs: DataFrame, hub: str = HUB) -> DataFrame:
+    """Ports seen as origin or destination, plus the hub."""
+    seen = pairs.select(F.explode(F.array("origin_port", "dest_port")).alias("id"))
     with_hub = seen.unionByName(seen.sparkSession.range(1).select(F.lit(hub).alias("id"))).distinct()
     return with_hub.filter(F.col("id").isNotNull()).withColumn(
         "type", F.when(F.col("id") == hub, "warehouse").otherwise("port")

@@ -44,8 +44,8 @@ def _ntz(*names: str) -> dict:
     return {name: F.col(name).cast("timestamp_ntz") for name in names}
 
 
-def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(name, 6) for name in names})
+def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({name: F.round(name, digits) for name in names})
 
 
 # ---- Staging and data quality --------------------------------------------------------------------
@@ -229,7 +229,7 @@ def graph_safest(d: Domain) -> DataFrame:
     edges = graph.with_risk_path_cost(
         adapters.transport_edges(d.spark, d.folder), F.col("weight") / F.lit(1000.0), F.col("risk"), risk_weight=0.75
     )
-    return _rounded(graph.cheapest_paths(edges, START_NODE, "safety_cost"), "cost").drop("previous")
+    return _rounded(graph.cheapest_paths(edges, START_NODE, "safety_cost"), "cost")
 
 
 @query
@@ -406,7 +406,7 @@ def route_map(d: Domain) -> DataFrame:
 
 @query
 def corridor_pairs(d: Domain) -> DataFrame:
-    return contingency.corridor_pairs(d.ports, d.ships)
+    return contingency.corridor_pairs(d.ports, d.sailed_pairs)
 
 
 # ---- Stock and orders ----------------------------------------------------------------------------
@@ -527,12 +527,12 @@ def _alert_windows(d: Domain) -> DataFrame:
 
 @query
 def windowed_ship_metrics(d: Domain) -> DataFrame:
-    return _rounded(_ship_windows(d), *_SHIP_FIGURES)
+    return _rounded(_ship_windows(d), *_SHIP_FIGURES, digits=9)
 
 
 @query
 def windowed_alert_metrics(d: Domain) -> DataFrame:
-    return _rounded(_alert_windows(d), *_ALERT_FIGURES)
+    return _rounded(_alert_windows(d), *_ALERT_FIGURES, digits=9)
 
 
 @query
@@ -542,8 +542,9 @@ def window_risk_class(d: Domain) -> DataFrame:
 
 def _event_stream(d: Domain) -> DataFrame:
     """The events table as a file stream."""
-    path = f"{d.folder}/events.parquet"
-    return message_stream(d.spark, path, "parquet", schema=d.spark.read.parquet(path).schema)
+    name = "events.parquet"
+    schema = d.spark.read.parquet(f"{d.folder}/{name}").schema
+    return message_stream(d.spark, d.folder, "parquet", schema=schema, options={"pathGlobFilter": name})
 
 
 def _run_folder(d: Domain, name: str) -> str:
@@ -557,7 +558,7 @@ def stream_ship_metrics(d: Domain) -> DataFrame:
     ships = adapters.ships_from(_event_stream(d)).withColumnRenamed("ts", "event_ts")
     streams.ship_metrics_query(ships, f"{out}/table", streams.checkpoint_path(out, "ships")).awaitTermination()
     rows = d.spark.read.parquet(f"{out}/table").drop("processed_at", "batch")
-    return _rounded(rows, *_SHIP_FIGURES).withColumns(_ntz("window_start", "window_end"))
+    return _rounded(rows, *_SHIP_FIGURES, digits=9).withColumns(_ntz("window_start", "window_end"))
 
 
 @query
@@ -566,7 +567,7 @@ def stream_alert_metrics(d: Domain) -> DataFrame:
     notices = adapters.alerts_from(_event_stream(d)).withColumnRenamed("ts", "event_ts")
     streams.alert_metrics_query(notices, f"{out}/table", streams.checkpoint_path(out, "alerts")).awaitTermination()
     rows = d.spark.read.parquet(f"{out}/table").drop("processed_at", "batch")
-    return _rounded(rows, *_ALERT_FIGURES).withColumns(_ntz("window_start", "window_end"))
+    return _rounded(rows, *_ALERT_FIGURES, digits=9).withColumns(_ntz("window_start", "window_end"))
 
 
 @query

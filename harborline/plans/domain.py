@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from harborline.functions.calendar import moment
 from harborline.operators import alerts as alert_ops
@@ -91,9 +90,13 @@ class Domain:
     def latest_operational(self) -> DataFrame:
         return weather_ops.latest_operational(self.weather, self.route_context, self.ports, self.fleet_as_of)
 
+    @cached_property
+    def sailed_pairs(self) -> DataFrame:
+        return network.sailed_pairs(self.ships)
+
     @cached_property
     def sea_edges(self) -> DataFrame:
-        return network.sea_edges(self.ships, self.ports)
+        return network.sea_edges(self.sailed_pairs, self.ports)
 
     @cached_property
     def network_edges(self) -> DataFrame:
@@ -101,17 +104,16 @@ class Domain:
 
     @cached_property
     def network_vertices(self) -> DataFrame:
-        return network.network_vertices(self.ships)
+        return network.network_vertices(self.sailed_pairs)
 
     @cached_property
     def route_risk(self) -> DataFrame:
-        clima = self.alerts.filter(F.col("source") == "clima")
-        noticias = self.alerts.filter(F.col("source") == "noticias")
-        return network.route_risk(self.sea_edges, network.mean_severity(clima, noticias))
+        return network.route_risk(self.sea_edges, network.mean_severity(self.alerts))
 
     @cached_property
     def fact_alerts(self) -> DataFrame:
-        return alert_ops.score_alerts(self.route_risk, alert_ops.stock_by_destination(self.ships), self.fleet_as_of)
+        stock_by_port = alert_ops.stock_by_destination(self.sailed_pairs)
+        return alert_ops.score_alerts(self.route_risk, stock_by_port, self.fleet_as_of)
 
     @cached_property
     def worst_alerts(self) -> DataFrame:
