@@ -34,9 +34,14 @@ WEATHER_KEYS = ["ts", "source", "port_ref", "event_type"]
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Message value to columns; a value that is not valid JSON gives nulls."""
+    """Message value to columns; a value that is not valid JSON gives nulls.
+
+    The parsed struct goes through a generator on purpose. Filters on its fields then stay above the
+    parse; with a plain projection each of them would be pushed below it and parse the text again.
+    """
     data = F.from_json(F.col(value).cast("string"), schema)
-    return df.select(data.alias("data"), *keep).select("data.*", *keep)
+    parsed = df.select(F.inline_outer(F.array(data)), *keep)
+    return parsed.select(*schema.names, *keep)
 
 
 def of_type(df: DataFrame, event_type: str) -> DataFrame:

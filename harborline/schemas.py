@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Nullable fields from ``name type, name type``; usable before a session exists."""
+    pairs = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SHIP_POSITION = _struct(
@@ -23,10 +31,12 @@ WEATHER_SNAPSHOT = _struct(
     "weather_code int, port_ref string, source string, event_type string, region string"
 )
 
-WEATHER_RESPONSE = _struct(
-    "current struct<time: string, temperature_2m: double, relative_humidity_2m: int, wind_speed_10m: double, "
-    "wind_direction_10m: int, weather_code: int>"
-)
+WEATHER_RESPONSE = T.StructType([
+    T.StructField("current", _struct(
+        "time string, temperature_2m double, relative_humidity_2m int, wind_speed_10m double, wind_direction_10m int, "
+        "weather_code int"
+    ))
+])
 
 LINEAGE = _struct("_ingestion_ts string, _ingestion_host string, _ingestion_partition int, _ingestion_offset bigint")
 
