@@ -71,7 +71,9 @@ def ship_context(latest: DataFrame, routes: DataFrame, ports: DataFrame, warehou
             latest.join(small(routes.select("route_id", "sea_hours_estimate", "inland_hours_estimate")), "route_id", "left"),
             ports,
         )
-        .join(small(warehouses.select(F.col("warehouse_name").alias("warehouse"))), "warehouse", "left")
+        .withColumn("_warehouses", warehouses.agg(F.collect_set("warehouse_name")).scalar())
+        .withColumn("warehouse", F.when(F.array_contains("_warehouses", F.col("warehouse")), F.col("warehouse")))
+        .drop("_warehouses")
         .join(weather, ["route_id", "dest_port"], "left")
         .join(alerts, "dest_port", "left")
         .withColumn("total_route_distance_km", total)

@@ -1,4 +1,8 @@
-"""MLlib models: arrival regression, stock-rupture classification, port clustering, and the retrain job."""
+"""MLlib models: arrival regression, stock-rupture classification, port clustering, and the retrain job.
+
+The estimators cache their own training input while they iterate; callers pass frames that are cheap to
+read again (a table or a checkpoint).
+"""
 
 from __future__ import annotations
 
@@ -56,7 +60,7 @@ def eta_features(context: DataFrame, weather: DataFrame) -> DataFrame:
 
 def fit_eta(rows: DataFrame, key: Sequence[str] = ("ship_id",)) -> tuple[PipelineModel, DataFrame]:
     """Regression of arrival days, and the predictions for the held-out ships."""
-    data = features(rows, ETA_FEATURES, F.col("eta_days"), keep=[*key, "route_id", "sea_hours_estimate"]).persist()
+    data = features(rows, ETA_FEATURES, F.col("eta_days"), keep=[*key, "route_id", "sea_hours_estimate"])
     train, test = split(data, key)
     model = Pipeline(stages=[LinearRegression(maxIter=LINEAR_MAX_ITER)]).fit(train)
     predicted = model.transform(test)
@@ -88,7 +92,7 @@ def classification_metrics(predicted: DataFrame) -> DataFrame:
 
 def fit_rupture(rows: DataFrame, key: Sequence[str] = ("ship_id",), trees: int = FOREST_TREES) -> tuple[PipelineModel, DataFrame]:
     """Forest that predicts an imminent stock rupture, and the predictions for the held-out ships."""
-    data = features(rows, RUPTURE_FEATURES, F.col("ruptures"), keep=list(key)).persist()
+    data = features(rows, RUPTURE_FEATURES, F.col("ruptures"), keep=list(key))
     train, test = split(data, key)
     model = Pipeline(stages=[RandomForestClassifier(numTrees=trees, seed=SEED)]).fit(train)
     return model, model.transform(test)
@@ -113,7 +117,7 @@ def port_features(latest: DataFrame, weather: DataFrame) -> DataFrame:
 
 def fit_ports(ports: DataFrame, k: int = CLUSTERS) -> tuple[PipelineModel, DataFrame]:
     """K-means over scaled port features; clusters are named by rising congestion and wind."""
-    data = features(ports, PORT_FEATURES, keep=["port_name"]).persist()
+    data = features(ports, PORT_FEATURES, keep=["port_name"])
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
     model = Pipeline(stages=[scaler, KMeans(k=k, seed=SEED, featuresCol="scaled", predictionCol="cluster")]).fit(data)
     centers = [float(c[0] + c[1]) for c in model.stages[-1].clusterCenters()]
@@ -131,7 +135,7 @@ def route_risk_models(route_risk: DataFrame) -> tuple[DataFrame, DataFrame, list
 
     On this table the label is one constant, so use the per-ship models for real predictions.
     """
-    data = features(route_risk, ROUTE_FEATURES, F.col("risk_score")).persist()
+    data = features(route_risk, ROUTE_FEATURES, F.col("risk_score"))
     train, test = data.randomSplit([0.8, 0.2], seed=SEED)
     regression = LinearRegression(maxIter=LINEAR_MAX_ITER).fit(train)
     banded = data.withColumn("risk_label", risk_label(F.col("label")))

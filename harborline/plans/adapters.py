@@ -1,12 +1,12 @@
 """Domain-shaped views over the generic test tables.
 
-Each function takes the session and a folder of Parquet tables and covers every row of the tables it
-reads. They stand in for the staged tables of a real deployment.
+Each function takes the tables it needs and covers every row of them. The views stand in for the staged
+tables of a real deployment.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions.bands import wind_severity
@@ -16,10 +16,6 @@ from harborline.sources.master import PORTS
 _PORT_AT = {name: (lat, lon) for _, name, _, _, lat, lon, _ in PORTS}
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -37,7 +33,7 @@ def _ship_id() -> Column:
     return F.concat(F.lit("ship-"), F.lpad(number, F.greatest(F.length(number), F.lit(3)), "0"))
 
 
-def ships_from(events: DataFrame) -> DataFrame:
+def ships(events: DataFrame) -> DataFrame:
     """Positions: every event is a fix of the vessel ``user_id``, ``k`` per cent along its route."""
     parity, third = F.col("user_id") % 2, F.col("user_id") % 3
     share = F.col("k") / F.lit(100.0)
@@ -62,11 +58,7 @@ def ships_from(events: DataFrame) -> DataFrame:
     )
 
 
-def ships(spark: SparkSession, folder: str) -> DataFrame:
-    return ships_from(table(spark, folder, "events"))
-
-
-def alerts_from(events: DataFrame) -> DataFrame:
+def alerts(events: DataFrame) -> DataFrame:
     """Alerts: error and signup events."""
     return events.filter(F.col("event_type").isin("error", "signup")).withColumn("k", _k()).select(
         "event_id", "ts",
@@ -78,13 +70,9 @@ def alerts_from(events: DataFrame) -> DataFrame:
     )
 
 
-def alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts_from(table(spark, folder, "events"))
-
-
-def weather(spark: SparkSession, folder: str) -> DataFrame:
+def weather(events: DataFrame) -> DataFrame:
     """Weather observations: view events, one of four ports each, one of them without a route."""
-    rows = table(spark, folder, "events").filter(F.col("event_type") == "view").withColumn("k", _k())
+    rows = events.filter(F.col("event_type") == "view").withColumn("k", _k())
     wind = (F.floor("value").cast("int") % 70).cast("double")
     return rows.select(
         "event_id", F.col("ts").alias("event_ts"),
@@ -95,9 +83,10 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
+def articles(part: DataFrame) -> DataFrame:
+    """Articles: one per part, with stock figures derived from its key."""
     key, size = F.col("p_partkey"), F.col("p_size").cast("long")
-    return table(spark, folder, "part").select(
+    return part.select(
         key.cast("string").alias("article_ref"), F.col("p_name").alias("article_name"),
         F.col("p_brand").alias("article_family"), size.alias("pieces_per_pack"),
         (F.lit(1) + key % 40).alias("daily_consumption_avg"),
@@ -108,9 +97,8 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def customer_orders(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Customer orders: one per order line."""
-    lines, heads = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
         F.col("l_partkey").cast("string").alias("article_ref"),
@@ -122,9 +110,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def article_plan(spark: SparkSession, folder: str) -> DataFrame:
+def article_plan(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """Transport plan: one task per order line, from order date to ship date."""
-    lines, heads = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     mode = F.when(F.col("l_returnflag") == "A", "air").when(F.col("l_returnflag") == "N", "sea").otherwise("truck")
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").cast("string").alias("article_ref"),
@@ -134,12 +121,9 @@ def article_plan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transport_edges(spark: SparkSession, folder: str) -> DataFrame:
+def transport_edges(lines: DataFrame, heads: DataFrame, suppliers: DataFrame, customers: DataFrame, nations: DataFrame) -> DataFrame:
     """Network over all trade: nation to supplier, supplier to customer (one edge per trading pair),
     customer to nation. ``weight`` is the mean quantity in hours, ``risk`` the share of returns."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_returnflag")
-    heads = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     trade = (
         lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "o_custkey")
@@ -148,10 +132,10 @@ def transport_edges(spark: SparkSession, folder: str) -> DataFrame:
         .select(_node("S", F.col("l_suppkey")).alias("src"), _node("C", F.col("o_custkey")).alias("dst"), "weight", "risk")
     )
     fixed = [F.lit(8.0).alias("weight"), F.lit(0.0).alias("risk")]
-    inbound = table(spark, folder, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+    inbound = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("src"), _node("S", F.col("s_suppkey")).alias("dst"), *fixed
     )
-    outbound = table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    outbound = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         _node("C", F.col("c_custkey")).alias("src"), F.col("n_name").alias("dst"), *fixed
     )
     return trade.unionByName(inbound).unionByName(outbound)
@@ -161,19 +145,26 @@ def _node(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
-def transport_nodes(spark: SparkSession, folder: str) -> DataFrame:
+def transport_nodes(suppliers: DataFrame, customers: DataFrame, nations: DataFrame) -> DataFrame:
     """All nations, suppliers and customers, with or without trade."""
+    def nodes(df: DataFrame, name: Column, kind: str) -> DataFrame:
+        return df.select(name.alias("id"), F.lit(kind).alias("type"))
+
     return (
-        table(spark, folder, "nation").select(F.col("n_name").alias("id"), F.lit("nation").alias("type"))
-        .unionByName(table(spark, folder, "supplier").select(_node("S", F.col("s_suppkey")).alias("id"), F.lit("supplier").alias("type")))
-        .unionByName(table(spark, folder, "customer").select(_node("C", F.col("c_custkey")).alias("id"), F.lit("customer").alias("type")))
+        nodes(nations, F.col("n_name"), "nation")
+        .unionByName(nodes(suppliers, _node("S", F.col("s_suppkey")), "supplier"))
+        .unionByName(nodes(customers, _node("C", F.col("c_custkey")), "customer"))
     )
 
 
-def consignment_edges(spark: SparkSession, folder: str) -> DataFrame:
+def consignment_edges(heads: DataFrame) -> DataFrame:
     """Customer to order links, for grouping consignments that belong together."""
-    return table(spark, folder, "orders").select(
-        _node("C", F.col("o_custkey")).alias("src"), _node("O", F.col("o_orderkey")).alias("dst")
+    return heads.select(_node("C", F.col("o_custkey")).alias("src"), _node("O", F.col("o_orderkey")).alias("dst"))
+
+
+def consignment_nodes(heads: DataFrame, customers: DataFrame) -> DataFrame:
+    return customers.select(_node("C", F.col("c_custkey")).alias("id")).unionByName(
+        heads.select(_node("O", F.col("o_orderkey")).alias("id"))
     )
 
 
@@ -184,12 +175,13 @@ SHIP_TYPES = ("click", "purchase")
 ALERT_TYPES = ("error", "signup")
 
 
-def raw_lines_from(events: DataFrame) -> DataFrame:
+def raw_lines(events: DataFrame, deliveries: int = 1) -> DataFrame:
     """The mixed raw topic as JSON text, with the faults a feed has.
 
     Click and purchase events are positions, error and signup events alerts, view events weather
     answers that also reach the ship topic. A value under 5 is a line cut off in transit, a value
-    from 200 up carries an unreadable time, and positions at ``k = 0`` miss the latitude.
+    from 200 up carries an unreadable time, and positions at ``k = 0`` miss the latitude. ``deliveries``
+    above one repeats every message, as an at-least-once feed may.
     """
     events = events.withColumn("k", _k())
     ts = F.when(F.col("value") >= 200, "sin hora").otherwise(F.col("ts").cast("string"))
@@ -222,15 +214,10 @@ def raw_lines_from(events: DataFrame) -> DataFrame:
     ).alias("current")))
     text = F.when(is_ship, ship).when(is_alert, alert).otherwise(answer)
     cut = F.when(F.col("value") < 5, F.substring(text, 1, 30)).otherwise(text)
-    return events.select(
+    lines = events.select(
         "event_id", F.when(is_alert, "alertas_globales").otherwise("datos_crudos").alias("topic"),
         F.when(is_ship, "ship").when(is_alert, "alert").otherwise("weather").alias("feed"), cut.alias("value"),
     )
-
-
-def raw_lines(spark: SparkSession, folder: str, deliveries: int = 1) -> DataFrame:
-    """The raw topic; ``deliveries`` above one repeats every message, as an at-least-once feed may."""
-    lines = raw_lines_from(table(spark, folder, "events"))
     if deliveries > 1:
         lines = lines.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(deliveries)))).drop("_n")
     return lines

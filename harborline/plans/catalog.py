@@ -52,7 +52,7 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def _feed(d: Domain, topic: str, deliveries: int = 1) -> DataFrame:
-    return adapters.raw_lines(d.spark, d.folder, deliveries).filter(F.col("topic") == topic)
+    return adapters.raw_lines(d.table("events"), deliveries).filter(F.col("topic") == topic)
 
 
 @query
@@ -81,7 +81,7 @@ def stg_alerts_routed(d: Domain) -> DataFrame:
 
 @query
 def weather_reshaped(d: Domain) -> DataFrame:
-    lines = adapters.raw_lines(d.spark, d.folder).filter(F.col("feed") == "weather")
+    lines = adapters.raw_lines(d.table("events")).filter(F.col("feed") == "weather")
     return staging.stage_weather(staging.reshape_weather(lines), d.fleet_as_of).withColumns(_ntz("event_ts"))
 
 
@@ -97,7 +97,7 @@ def contract_violations(d: Domain) -> DataFrame:
 
 @query
 def table_counts(d: Domain) -> DataFrame:
-    return quality.row_counts({name: adapters.table(d.spark, d.folder, name) for name in SOURCE_TABLES})
+    return quality.row_counts({name: d.table(name) for name in SOURCE_TABLES})
 
 
 # ---- Weather -------------------------------------------------------------------------------------
@@ -207,52 +207,41 @@ def graph_degree(d: Domain) -> DataFrame:
 @query
 def trade_centrality(d: Domain) -> DataFrame:
     """Degree of every node of the trade network."""
-    rows = graph.centrality(adapters.transport_edges(d.spark, d.folder), adapters.transport_nodes(d.spark, d.folder))
+    rows = graph.centrality(d.trade_edges, d.trade_nodes)
     return rows.withColumn("state", node_state(F.col("criticality_level")))
 
 
 @query
 def graph_hops(d: Domain) -> DataFrame:
-    return graph.hops(
-        adapters.transport_edges(d.spark, d.folder), adapters.transport_nodes(d.spark, d.folder), START_NODE
-    )
+    return graph.hops(d.trade_edges, d.trade_nodes, START_NODE)
 
 
 @query
 def graph_shortest_time(d: Domain) -> DataFrame:
-    edges = adapters.transport_edges(d.spark, d.folder)
-    return _rounded(graph.cheapest_paths(edges, START_NODE), "cost")
+    return _rounded(graph.cheapest_paths(d.trade_edges, START_NODE), "cost")
 
 
 @query
 def graph_safest(d: Domain) -> DataFrame:
-    edges = graph.with_risk_path_cost(
-        adapters.transport_edges(d.spark, d.folder), F.col("weight") / F.lit(1000.0), F.col("risk"), risk_weight=0.75
-    )
+    edges = graph.with_risk_path_cost(d.trade_edges, F.col("weight") / F.lit(1000.0), F.col("risk"), risk_weight=0.75)
     return _rounded(graph.cheapest_paths(edges, START_NODE, "safety_cost"), "cost")
 
 
 @query
 def graph_dynamic_weights(d: Domain) -> DataFrame:
-    edges = adapters.transport_edges(d.spark, d.folder)
     weight = network.dynamic_weight(F.col("weight") / F.lit(24.0), F.lit(1.0) - F.col("risk"), F.lit(8.0))
-    return edges.select("src", "dst", F.round(weight, 6).alias("dynamic_weight"))
+    return d.trade_edges.select("src", "dst", F.round(weight, 6).alias("dynamic_weight"))
 
 
 @query
 def graph_components(d: Domain) -> DataFrame:
-    customers = adapters.table(d.spark, d.folder, "customer").select(
-        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id")
-    )
-    orders = adapters.table(d.spark, d.folder, "orders").select(
-        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("id")
-    )
-    return graph.components(adapters.consignment_edges(d.spark, d.folder), customers.unionByName(orders))
+    heads = d.table("orders")
+    return graph.components(adapters.consignment_edges(heads), adapters.consignment_nodes(heads, d.table("customer")))
 
 
 @query
 def graph_pagerank(d: Domain) -> DataFrame:
-    ranks = graph.pagerank(adapters.transport_edges(d.spark, d.folder), adapters.transport_nodes(d.spark, d.folder))
+    ranks = graph.pagerank(d.trade_edges, d.trade_nodes)
     return ranks.withColumn("pagerank", F.round("pagerank", 8))
 
 
@@ -465,7 +454,7 @@ def stock_rupture_timeline(d: Domain) -> DataFrame:
 
 @query
 def article_gantt(d: Domain) -> DataFrame:
-    return stock.article_plan(adapters.article_plan(d.spark, d.folder))
+    return stock.article_plan(adapters.article_plan(d.table("lineitem"), d.table("orders")))
 
 
 @query
@@ -542,9 +531,8 @@ def window_risk_class(d: Domain) -> DataFrame:
 
 def _event_stream(d: Domain) -> DataFrame:
     """The events table as a file stream."""
-    name = "events.parquet"
-    schema = d.spark.read.parquet(f"{d.folder}/{name}").schema
-    return message_stream(d.spark, d.folder, "parquet", schema=schema, options={"pathGlobFilter": name})
+    schema = d.table("events").schema
+    return message_stream(d.spark, d.folder, "parquet", schema=schema, options={"pathGlobFilter": "events.parquet"})
 
 
 def _run_folder(d: Domain, name: str) -> str:
@@ -555,7 +543,7 @@ def _run_folder(d: Domain, name: str) -> str:
 def stream_ship_metrics(d: Domain) -> DataFrame:
     """Closed windows only: a stream never emits windows its watermark has not passed."""
     out = _run_folder(d, "stream_ship_metrics")
-    ships = adapters.ships_from(_event_stream(d)).withColumnRenamed("ts", "event_ts")
+    ships = adapters.ships(_event_stream(d)).withColumnRenamed("ts", "event_ts")
     streams.ship_metrics_query(ships, f"{out}/table", streams.checkpoint_path(out, "ships")).awaitTermination()
     rows = d.spark.read.parquet(f"{out}/table").drop("processed_at", "batch")
     return _rounded(rows, *_SHIP_FIGURES, digits=9).withColumns(_ntz("window_start", "window_end"))
@@ -564,7 +552,7 @@ def stream_ship_metrics(d: Domain) -> DataFrame:
 @query
 def stream_alert_metrics(d: Domain) -> DataFrame:
     out = _run_folder(d, "stream_alert_metrics")
-    notices = adapters.alerts_from(_event_stream(d)).withColumnRenamed("ts", "event_ts")
+    notices = adapters.alerts(_event_stream(d)).withColumnRenamed("ts", "event_ts")
     streams.alert_metrics_query(notices, f"{out}/table", streams.checkpoint_path(out, "alerts")).awaitTermination()
     rows = d.spark.read.parquet(f"{out}/table").drop("processed_at", "batch")
     return _rounded(rows, *_ALERT_FIGURES, digits=9).withColumns(_ntz("window_start", "window_end"))
@@ -573,7 +561,7 @@ def stream_alert_metrics(d: Domain) -> DataFrame:
 @query
 def stream_latest_state(d: Domain) -> DataFrame:
     out = _run_folder(d, "stream_latest_state")
-    ships = adapters.ships_from(_event_stream(d)).withColumnRenamed("ts", "event_ts")
+    ships = adapters.ships(_event_stream(d)).withColumnRenamed("ts", "event_ts")
     streams.latest_state_query(ships, f"{out}/state", streams.checkpoint_path(out, "state"), ["event_id"]).awaitTermination()
     return _rounded(streams.read_state(d.spark, f"{out}/state"), "lat", "lon").drop("event_id")
 
@@ -582,7 +570,7 @@ def stream_latest_state(d: Domain) -> DataFrame:
 def stream_raw_landing(d: Domain) -> DataFrame:
     """Land the raw topics as files, then count messages per kind and day from the files."""
     out = _run_folder(d, "stream_raw_landing")
-    rows = streams.landing_rows(adapters.raw_lines_from(_event_stream(d)))
+    rows = streams.landing_rows(adapters.raw_lines(_event_stream(d)))
     streams.landing_query(
         rows, f"{out}/raw", streams.checkpoint_path(out, "landing"), streams.MICRO_BATCH, by=("kind", "dt")
     ).awaitTermination()

@@ -22,6 +22,13 @@ class Domain:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
         self.fleet_as_of, self.orders_as_of = moment(FLEET_AS_OF), moment(ORDERS_AS_OF)
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """A source table; its footer is read once per run."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def dim(self, name: str) -> DataFrame:
         return master(self.spark, name)
@@ -30,23 +37,32 @@ class Domain:
 
     @cached_property
     def ships(self) -> DataFrame:
-        return adapters.ships(self.spark, self.folder)
+        return adapters.ships(self.table("events"))
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return adapters.alerts(self.spark, self.folder)
+        return adapters.alerts(self.table("events"))
 
     @cached_property
     def weather(self) -> DataFrame:
-        return adapters.weather(self.spark, self.folder)
+        return adapters.weather(self.table("events"))
 
     @cached_property
     def articles(self) -> DataFrame:
-        return adapters.articles(self.spark, self.folder)
+        return adapters.articles(self.table("part"))
 
     @cached_property
     def orders(self) -> DataFrame:
-        return adapters.orders(self.spark, self.folder)
+        return adapters.customer_orders(self.table("lineitem"), self.table("orders"))
+
+    @cached_property
+    def trade_edges(self) -> DataFrame:
+        names = ("lineitem", "orders", "supplier", "customer", "nation")
+        return adapters.transport_edges(*[self.table(n) for n in names])
+
+    @cached_property
+    def trade_nodes(self) -> DataFrame:
+        return adapters.transport_nodes(*[self.table(n) for n in ("supplier", "customer", "nation")])
 
     # Master data in frequent use.
 
