@@ -238,7 +238,12 @@ def sea_air_overcost(corridors: DataFrame, routes: DataFrame, traffic: DataFrame
     )
 
 
-def air_contingency(coverage: DataFrame, best_air: DataFrame, articles: DataFrame) -> DataFrame:
+def air_route_choices(corridors: DataFrame) -> DataFrame:
+    """Distinct air routes that have a price."""
+    return corridors.select("origin_airport", "dest_city", "air_cost_eur", "air_eta_hours").distinct().dropna(subset=["air_cost_eur"])
+
+
+def air_contingency(coverage: DataFrame, best_air: DataFrame) -> DataFrame:
     """Uncovered orders whose inbound port has an air option."""
     options = best_air.select(
         F.col("dest_port").alias("inbound_port"), "air_dest_city", F.col("air_total_cost_eur").alias("option_cost")

@@ -6,6 +6,8 @@ round at most. Rounds go on until nothing changes; there is no cap that could cu
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,32 +31,57 @@ def centrality(edges: DataFrame, vertices: DataFrame, critical_from: int = 2) ->
     )
 
 
+def top_nodes(ranked: DataFrame, limit: int = 20) -> DataFrame:
+    """Nodes with the most links first."""
+    return ranked.orderBy(F.col("degree").desc(), "node_id").limit(limit)
+
+
 def hops(edges: DataFrame, vertices: DataFrame, landmark: str, direction: str = "from") -> DataFrame:
     """Fewest edges between the landmark and every vertex; null when there is no path.
 
     ``from`` counts along the edges away from the landmark, ``to`` towards it.
     """
+    reached = _breadth_first(edges, vertices, [landmark], direction).drop("landmark")
+    return vertices.select(F.col("id").alias("node_id"), F.col("type").alias("node_type")).join(reached, "node_id", "left")
+
+
+def landmark_hops(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str = "to") -> DataFrame:
+    """``distances`` map per vertex, from landmark to fewest edges; landmarks without a path are absent.
+
+    All landmarks share the same rounds. A map holds one entry per landmark at most.
+    """
+    reached = _breadth_first(edges, vertices, landmarks, direction)
+    maps = reached.groupBy("node_id").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("landmark", "hops")))).alias("distances")
+    )
+    empty = F.create_map().cast("map<string,int>")
+    return (
+        vertices.select(F.col("id").alias("node_id"), F.col("type").alias("node_type"))
+        .join(maps, "node_id", "left")
+        .withColumn("distances", F.coalesce("distances", empty))
+    )
+
+
+def _breadth_first(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str) -> DataFrame:
+    """``node_id, landmark, hops`` for every vertex that has a path."""
     if direction not in ("from", "to"):
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("src", "dst") if direction == "from" else ("dst", "src")
     links = cut_lineage(edges.select(F.col(here).alias("node_id"), F.col(there).alias("next")).distinct())
 
-    seen = cut_lineage(
-        vertices.filter(F.col("id") == landmark).select(F.col("id").alias("node_id"), F.lit(0).alias("hops"))
-    )
+    key = ["node_id", "landmark"]
+    start = vertices.filter(F.col("id").isin(*landmarks))
+    seen = cut_lineage(start.select(F.col("id").alias("node_id"), F.col("id").alias("landmark"), F.lit(0).alias("hops")))
     frontier, step = seen, 0
     while True:
         step += 1
-        reached = frontier.join(links, "node_id").select(F.col("next").alias("node_id")).distinct()
-        frontier = cut_lineage(
-            reached.join(seen, "node_id", "left_anti").withColumn("hops", F.lit(step))
-        )
+        reached = frontier.join(links, "node_id").select(F.col("next").alias("node_id"), "landmark").distinct()
+        frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("hops", F.lit(step)))
         if frontier.isEmpty():
-            break
+            return seen
         seen = seen.unionByName(frontier)
         if step % _COMPACT_EVERY == 0:
             seen = cut_lineage(seen)
-    return vertices.select(F.col("id").alias("node_id"), F.col("type").alias("node_type")).join(seen, "node_id", "left")
 
 
 def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight") -> DataFrame:

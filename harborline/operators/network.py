@@ -88,3 +88,8 @@ def dynamic_weight(transit_days: Column, reliability: Column, customs_hours: Col
     ``literal_units`` adds the bare numbers."""
     customs = customs_hours if literal_units else customs_hours / F.lit(24.0)
     return transit_days + F.try_divide(F.lit(1.0), reliability) + customs
+
+
+def customer_links(links: DataFrame) -> DataFrame:
+    """Links beyond the hub as edges in hours, for use as ``extra`` edges."""
+    return links.select("src", "dst", (F.col("days") * F.lit(24.0)).alias("weight"))

@@ -230,7 +230,7 @@ def demand_projection(articles: DataFrame, weeks: int = 10) -> DataFrame:
 
 
 def embarkation_list(articles: DataFrame) -> DataFrame:
-    """Articles to fly: near or below safety stock, with quantity, volume and weight."""
+    """Articles to fly, lowest stock first: near or below safety stock, with quantity, volume and weight."""
     stock, safety, quantity = F.col("total_stock_pieces"), F.col("safety_stock_min"), F.col("quantity_to_fly")
     return (
         articles.filter(stock <= safety * F.lit(1.2))
@@ -240,6 +240,7 @@ def embarkation_list(articles: DataFrame) -> DataFrame:
             F.round(F.try_divide(quantity, F.col("pieces_per_pack")) * F.lit(0.02), 6).alias("volume_estimate_m3"),
             (quantity * F.lit(0.5)).alias("weight_estimate_kg"),
         )
+        .orderBy("total_stock_pieces", "article_ref")
     )
 
 

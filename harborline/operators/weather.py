@@ -86,3 +86,12 @@ def latest_by_port(weather: DataFrame, ports: DataFrame, tie: str = "event_id")
 def latest_operational(weather: DataFrame, context: DataFrame, ports: DataFrame, as_of: Column) -> DataFrame:
     """Operational fact of the newest observation per port: one row per route (and port)."""
     return operational_fact(enrich_weather(latest_by_port(weather, ports), context, as_of), as_of)
+
+
+def newest_by_route(operational: DataFrame) -> DataFrame:
+    """Newest fact row per route and port, from the full fact table; rows without a route are left out."""
+    routed = operational.filter(F.col("route_id").isNotNull())
+    rest = ["temperature_c", "wind_speed_kmh", "humidity_pct", "severity"]
+    return first_per(
+        routed, ["route_id", "port_ref"], [F.col("event_ts").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in rest]]
+    )

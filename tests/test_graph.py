@@ -44,6 +44,15 @@ def test_hops(spark, random_graph):
         assert got == {n: dist.get(n) for n in nodes}
 
 
+def test_landmark_maps(spark, random_graph):
+    nodes, edges = random_graph
+    v, e = frames(spark, nodes, edges)
+    rows = {r.node_id: r.distances for r in graph.landmark_hops(e, v, ["n00", "n03"]).collect()}
+    for mark in ("n00", "n03"):
+        single = {r.node_id: r.hops for r in graph.hops(e, v, mark, "to").collect()}
+        assert {n: d.get(mark) for n, d in rows.items()} == single
+
+
 def test_cheapest_paths(spark, random_graph):
     nodes, edges = random_graph
     _, e = frames(spark, nodes, edges)

@@ -251,6 +251,26 @@ def test_air_overcost(dims):
     assert 17150.0 - 4000.0 in {r.air_overcost_eur for r in rows}
 
 
+def test_air_route_choices(dims):
+    assert contingency.air_route_choices(dims["dim_air_recovery"]).count() == 6
+
+
+def test_customer_links_extend_the_network(spark, net):
+    from harborline.sources.master import master as table
+    edges = network.network_edges(net[1], extra=network.customer_links(table(spark, "dim_customer_links")))
+    rows = {r.node_id: r for r in graph.cheapest_paths(edges, "Shanghai").collect()}
+    assert rows["Douai"].hops == 3 and rows["Douai"].cost == pytest.approx(391.54 + 8 + 60, abs=0.01)
+    assert rows["Douai"].previous == "Valladolid" and rows["Valladolid"].previous == "Algeciras"
+
+
+def test_dynamic_weight_units(spark):
+    df = spark.range(1).select(
+        network.dynamic_weight(F.lit(16.0), F.lit(0.5), F.lit(12.0)).alias("days"),
+        network.dynamic_weight(F.lit(16.0), F.lit(0.5), F.lit(12.0), literal_units=True).alias("bare"),
+        network.dynamic_weight(F.lit(16.0), F.lit(0.0), F.lit(12.0)).alias("unreliable")).first()
+    assert (df.days, df.bare, df.unreliable) == (18.5, 30.0, None)
+
+
 def test_gantt_filter(dims):
     rows = stock.article_plan(dims["fact_article_gantt"], "IW14").collect()
     assert len(rows) == 6 and {r.duration_days for r in rows if r.task_name == "Recepcion maritima"} == {7}

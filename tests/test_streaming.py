@@ -135,6 +135,21 @@ def test_landing_partitions_and_exactly_once(spark, tmp_path):
     assert landed.first().ship_id == "ship-001"
 
 
+def test_stream_joined_with_static_context(spark, tmp_path):
+    from harborline.operators import weather
+    from harborline.sources.master import master
+
+    context = weather.route_context(*[master(spark, n) for n in ("dim_routes", "dim_ports", "dim_warehouse", "dim_port_stock")])
+    write_batch(tmp_path / "in", "a", [{"ts": "2026-03-26T10:00:00", "wind_speed_kmh": 51.0, "port_ref": "Valencia"}])
+    lines = message_stream(spark, str(tmp_path / "in"), "text")
+    snapshots = staging.parse_json(lines, schemas.WEATHER_SNAPSHOT).withColumns(
+        {"severity": staging.wind_severity(F.col("wind_speed_kmh")), "event_ts": F.col("ts").cast("timestamp")})
+    out = str(tmp_path / "fact")
+    queries.weather_fact_query(snapshots, context, out, queries.checkpoint_path(str(tmp_path), "w")).awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert {(r.route_id, r.operational_severity) for r in rows} == {("route-shanghai-valencia", 5), ("route-yokohama-valencia", 5)}
+
+
 def test_two_queries_run_together(spark, tmp_path):
     write_batch(tmp_path / "in", "a", [at(1)])
     started = [
