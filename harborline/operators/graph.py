@@ -2,18 +2,57 @@
 
 Every round is checkpointed to the shared folder, so plans stay short and a lost executor costs one
 round at most. Rounds go on until nothing changes; there is no cap that could cut results short.
+
+The edges are by far the largest input. They are shuffled once, by source node, and stay where they are;
+each round moves only node rows to them. A node with very many edges is split into parts, so a hub that
+holds a third of all edges still spreads over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.session import cut_lineage
 
 _COMPACT_EVERY = 8
+HUB_ROWS = 500_000
+
+
+@contextmanager
+def _placed(links: DataFrame, hub_rows: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Links with columns ``node_id, ...`` kept partitioned by node and part, and the parts per node.
+
+    The copy is held on executor disks while the rounds run. It is derived from a checkpoint, so blocks
+    lost with an executor are rebuilt from there.
+    """
+    links = cut_lineage(links)
+    parts = cut_lineage(
+        links.groupBy("node_id").agg(F.ceil(F.count("*") / F.lit(hub_rows)).cast("int").alias("parts"))
+    )
+    rest = [c for c in links.columns if c != "node_id"]
+    width = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        links.join(parts, "node_id")
+        .withColumn("part", F.pmod(F.xxhash64(*rest), F.col("parts")).cast("int"))
+        .drop("parts")
+        .repartition(width, "node_id", "part")
+        .persist(StorageLevel.DISK_ONLY)
+    )
+    try:
+        yield placed, parts
+    finally:
+        placed.unpersist()
+
+
+def _expand(nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Node rows, which carry ``parts``, joined with all their links."""
+    copies = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return copies.join(placed, ["node_id", "part"]).drop("part")
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -36,21 +75,22 @@ def top_nodes(ranked: DataFrame, limit: int = 20) -> DataFrame:
     return ranked.orderBy(F.col("degree").desc(), "node_id").limit(limit)
 
 
-def hops(edges: DataFrame, vertices: DataFrame, landmark: str, direction: str = "from") -> DataFrame:
+def hops(edges: DataFrame, vertices: DataFrame, landmark: str, direction: str = "from", hub_rows: int = HUB_ROWS) -> DataFrame:
     """Fewest edges between the landmark and every vertex; null when there is no path.
 
     ``from`` counts along the edges away from the landmark, ``to`` towards it.
     """
-    reached = _breadth_first(edges, vertices, [landmark], direction).drop("landmark")
+    reached = _breadth_first(edges, vertices, [landmark], direction, hub_rows).drop("landmark")
     return vertices.select(F.col("id").alias("node_id"), F.col("type").alias("node_type")).join(reached, "node_id", "left")
 
 
-def landmark_hops(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str = "to") -> DataFrame:
+def landmark_hops(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str = "to",
+                  hub_rows: int = HUB_ROWS) -> DataFrame:
     """``distances`` map per vertex, from landmark to fewest edges; landmarks without a path are absent.
 
     All landmarks share the same rounds. A map holds one entry per landmark at most.
     """
-    reached = _breadth_first(edges, vertices, landmarks, direction)
+    reached = _breadth_first(edges, vertices, landmarks, direction, hub_rows)
     maps = reached.groupBy("node_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("landmark", "hops")))).alias("distances")
     )
@@ -62,103 +102,113 @@ def landmark_hops(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str
     )
 
 
-def _breadth_first(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str) -> DataFrame:
+def _breadth_first(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[str], direction: str, hub_rows: int) -> DataFrame:
     """``node_id, landmark, hops`` for every vertex that has a path."""
     if direction not in ("from", "to"):
         raise ValueError(f"unknown direction {direction!r}")
     here, there = ("src", "dst") if direction == "from" else ("dst", "src")
-    links = cut_lineage(edges.select(F.col(here).alias("node_id"), F.col(there).alias("next")).distinct())
-
+    links = edges.select(F.col(here).alias("node_id"), F.col(there).alias("next")).distinct()
     key = ["node_id", "landmark"]
-    start = vertices.filter(F.col("id").isin(*landmarks))
-    seen = cut_lineage(start.select(F.col("id").alias("node_id"), F.col("id").alias("landmark"), F.lit(0).alias("hops")))
-    frontier, step = seen, 0
-    while True:
-        step += 1
-        reached = frontier.join(links, "node_id").select(F.col("next").alias("node_id"), "landmark").distinct()
-        frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("hops", F.lit(step)))
-        if frontier.isEmpty():
-            return seen
-        seen = seen.unionByName(frontier)
-        if step % _COMPACT_EVERY == 0:
-            seen = cut_lineage(seen)
-
-
-def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight") -> DataFrame:
+    with _placed(links, hub_rows) as (placed, parts):
+        start = vertices.filter(F.col("id").isin(*landmarks))
+        seen = cut_lineage(start.select(F.col("id").alias("node_id"), F.col("id").alias("landmark"), F.lit(0).alias("hops")))
+        frontier, step = seen, 0
+        while True:
+            step += 1
+            nodes = frontier.select(*key).join(parts, "node_id")
+            reached = _expand(nodes, placed).select(F.col("next").alias("node_id"), "landmark").distinct()
+            frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("hops", F.lit(step)))
+            if frontier.isEmpty():
+                return seen
+            seen = seen.unionByName(frontier)
+            if step % _COMPACT_EVERY == 0:
+                seen = cut_lineage(seen)
+
+
+def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows: int = HUB_ROWS) -> DataFrame:
     """Lowest total cost from ``source`` to every reachable node: ``node_id, cost, hops, previous``.
 
     Of equally cheap paths the one with fewest edges counts, then the smallest previous node, so the
     result does not depend on the order of rounds. Only nodes that improved in the last round are
     expanded. Costs must not be negative.
     """
-    links = cut_lineage(edges.select("src", "dst", F.col(cost).alias("cost")).filter(F.col("cost").isNotNull()))
+    # Of parallel edges only the cheapest can matter.
+    links = (
+        edges.filter(F.col(cost).isNotNull())
+        .groupBy(F.col("src").alias("node_id"), F.col("dst").alias("next")).agg(F.min(cost).alias("cost"))
+    )
 
     def label(total: Column, hops: Column) -> Column:
         return F.struct(total.alias("cost"), hops.alias("hops")).alias("label")
 
-    best = cut_lineage(
-        edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), label(F.lit(0.0), F.lit(0)))
-    )
-    frontier = best
-    while True:
-        offers = (
-            frontier.join(links, F.col("node_id") == F.col("src"))
-            .select("dst", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1))
-            .groupBy(F.col("dst").alias("node_id"))
-            .agg(F.min("label").alias("label"))
+    with _placed(links, hub_rows) as (placed, parts):
+        best = cut_lineage(
+            edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), label(F.lit(0.0), F.lit(0)))
         )
-        improved = cut_lineage(
-            offers.join(best.select("node_id", F.col("label").alias("known")), "node_id", "left")
-            .filter(F.col("known").isNull() | (F.col("label") < F.col("known")))
-            .drop("known")
+        frontier = best
+        while True:
+            offers = (
+                _expand(frontier.join(parts, "node_id"), placed)
+                .select("next", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1))
+                .groupBy(F.col("next").alias("node_id"))
+                .agg(F.min("label").alias("label"))
+            )
+            improved = cut_lineage(
+                offers.join(best.select("node_id", F.col("label").alias("known")), "node_id", "left")
+                .filter(F.col("known").isNull() | (F.col("label") < F.col("known")))
+                .drop("known")
+            )
+            if improved.isEmpty():
+                break
+            best = cut_lineage(best.join(improved, "node_id", "left_anti").unionByName(improved))
+            frontier = improved
+
+        after = best.select(F.col("node_id").alias("next"), F.col("label").alias("after"))
+        on_path = (F.col("label.cost") + F.col("cost") == F.col("after.cost")) & (
+            F.col("label.hops") + 1 == F.col("after.hops")
         )
-        if improved.isEmpty():
-            break
-        best = cut_lineage(best.join(improved, "node_id", "left_anti").unionByName(improved))
-        frontier = improved
-    start = best.select(F.col("node_id").alias("src"), F.col("label").alias("before"))
-    end = best.select(F.col("node_id").alias("dst"), F.col("label").alias("after"))
-    on_path = (F.col("before.cost") + F.col("cost") == F.col("after.cost")) & (
-        F.col("before.hops") + 1 == F.col("after.hops")
-    )
-    previous = (
-        links.join(start, "src").join(end, "dst").filter(on_path)
-        .groupBy(F.col("dst").alias("node_id")).agg(F.min("src").alias("previous"))
+        previous = cut_lineage(
+            _expand(best.join(parts, "node_id"), placed).join(after, "next").filter(on_path)
+            .groupBy(F.col("next").alias("to")).agg(F.min("node_id").alias("previous"))
+        )
+    return best.join(previous, best["node_id"] == previous["to"], "left").select(
+        "node_id", "label.cost", "label.hops", "previous"
     )
-    return best.join(previous, "node_id", "left").select("node_id", "label.cost", "label.hops", "previous")
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataFrame:
+def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: float = 0.85,
+             hub_rows: int = HUB_ROWS) -> DataFrame:
     """PageRank that sums to one; rank of nodes without out-edges is spread over all nodes."""
-    nodes = cut_lineage(vertices.select(F.col("id").alias("node_id")).distinct())
     out = edges.groupBy("src").agg(F.count("*").alias("links"))
     # One row per distinct pair keeps parallel edges as a factor instead of as repeated rows.
-    shares = cut_lineage(
+    shares = (
         edges.groupBy("src", "dst").agg(F.count("*").alias("times"))
         .join(out, "src")
-        .select("src", "dst", (F.col("times") / F.col("links")).alias("share"))
+        .select(F.col("src").alias("node_id"), F.col("dst").alias("next"), (F.col("times") / F.col("links")).alias("share"))
     )
+    nodes = vertices.select(F.col("id").alias("node_id")).distinct()
     total = nodes.agg(F.count("*")).scalar()
-    rank = cut_lineage(
-        nodes.join(out.select(F.col("src").alias("node_id"), F.lit(True).alias("has_out")), "node_id", "left")
-        .select("node_id", F.coalesce("has_out", F.lit(False)).alias("has_out"),
-                (F.lit(1.0) / total).alias("rank"), total.alias("total"))
-    )
-    for _ in range(rounds):
-        received = (
-            shares.join(rank.select(F.col("node_id").alias("src"), "rank"), "src")
-            .groupBy(F.col("dst").alias("node_id"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
-        )
-        idle = F.coalesce(rank.filter(~F.col("has_out")).agg(F.sum("rank")).scalar(), F.lit(0.0))
+    received_rank = F.coalesce("received", F.lit(0.0)) + F.col("idle") / F.col("total")
+    with _placed(shares, hub_rows) as (placed, parts):
+        # ``parts`` is null for nodes without out-edges.
         rank = cut_lineage(
-            rank.drop("rank").join(received, "node_id", "left").withColumn("idle", idle).select(
-                "node_id", "has_out",
-                (F.lit(1.0 - damping) / F.col("total")
-                 + F.lit(damping) * (F.coalesce("received", F.lit(0.0)) + F.col("idle") / F.col("total"))).alias("rank"),
-                "total",
-            )
+            nodes.join(parts, "node_id", "left").withColumn("total", total)
+            .withColumn("rank", F.lit(1.0) / F.col("total"))
         )
+        for _ in range(rounds):
+            senders = rank.filter(F.col("parts").isNotNull()).select("node_id", "rank", "parts")
+            received = (
+                _expand(senders, placed)
+                .groupBy(F.col("next").alias("node_id"))
+                .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
+            )
+            idle = F.coalesce(rank.filter(F.col("parts").isNull()).agg(F.sum("rank")).scalar(), F.lit(0.0))
+            rank = cut_lineage(
+                rank.drop("rank").join(received, "node_id", "left").withColumn("idle", idle).select(
+                    "node_id", "parts", "total",
+                    (F.lit(1.0 - damping) / F.col("total") + F.lit(damping) * received_rank).alias("rank"),
+                )
+            )
     return rank.select("node_id", F.col("rank").alias("pagerank"))
 
 

@@ -40,7 +40,7 @@ def test_hops(spark, random_graph):
                 if m not in dist:
                     dist[m] = dist[n] + 1
                     queue.append(m)
-        got = {r.node_id: r.hops for r in graph.hops(e, v, "n03", direction).collect()}
+        got = {r.node_id: r.hops for r in graph.hops(e, v, "n03", direction, hub_rows=4).collect()}
         assert got == {n: dist.get(n) for n in nodes}
 
 
@@ -63,7 +63,7 @@ def test_cheapest_paths(spark, random_graph):
                 offer = (best[a][0] + w, best[a][1] + 1)
                 if b not in best or offer < best[b]:
                     best[b] = offer
-    rows = {r.node_id: r for r in graph.cheapest_paths(e, "n00").collect()}
+    rows = {r.node_id: r for r in graph.cheapest_paths(e, "n00", hub_rows=3).collect()}
     assert {n: (r.cost, r.hops) for n, r in rows.items()} == best
     weights = {}
     for a, b, w in edges:
@@ -97,7 +97,7 @@ def test_pagerank(spark, random_graph):
             for b in targets:
                 new[b] += 0.85 * rank[a] / len(targets)
         rank = new
-    got = {r.node_id: r.pagerank for r in graph.pagerank(e, v).collect()}
+    got = {r.node_id: r.pagerank for r in graph.pagerank(e, v, hub_rows=3).collect()}
     assert got == pytest.approx(rank, abs=1e-12)
     assert sum(got.values()) == pytest.approx(1.0)
 
@@ -137,6 +137,25 @@ def test_components_of_a_chain_and_a_star(spark):
     assert set(got.values()) == {"c00", "s00", "alone"}
 
 
+def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
+    nodes, edges = random_graph
+    _, e = frames(spark, nodes, edges)
+    links = e.select(F.col("src").alias("node_id"), F.col("dst").alias("next"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with graph._placed(links, 3) as (placed, parts):
+            assert parts.filter("parts > 1").count() > 0
+            joined = graph._expand(parts, placed)
+            assert joined.count() == len(edges)
+            joined.collect()
+            final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            cached = final.index("InMemoryTableScan")
+            path = final[final.rindex("SortMergeJoin", 0, cached):cached]
+            assert path.count("Exchange") == 1  # the node side only
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_unknown_direction(spark, random_graph):
     v, e = frames(spark, *random_graph)
     with pytest.raises(ValueError):
