@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -23,38 +24,48 @@ _COMPACT_EVERY = 8
 HUB_ROWS = 500_000
 
 
+@dataclass(frozen=True)
+class _Placed:
+    """Links ``node_id, ...`` partitioned by node, and the parts of the nodes that are split, if any."""
+
+    links: DataFrame
+    hubs: DataFrame | None
+
+    def expand(self, nodes: DataFrame) -> DataFrame:
+        """Node rows joined with all their links. Only the node rows are shuffled."""
+        if self.hubs is None:
+            return nodes.join(self.links, "node_id")
+        last = F.coalesce("parts", F.lit(1)) - 1
+        copies = nodes.join(self.hubs, "node_id", "left").withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+        return copies.drop("parts").join(self.links, ["node_id", "part"]).drop("part")
+
+
 @contextmanager
-def _placed(links: DataFrame, hub_rows: int) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Links with columns ``node_id, ...`` kept partitioned by node and part, and the parts per node.
+def _placed(links: DataFrame, hub_rows: int) -> Iterator[_Placed]:
+    """Keep links partitioned by node, and by part for nodes with more than ``hub_rows`` links.
 
     The copy is held on executor disks while the rounds run. It is derived from a checkpoint, so blocks
     lost with an executor are rebuilt from there.
     """
     links = cut_lineage(links)
-    parts = cut_lineage(
-        links.groupBy("node_id").agg(F.ceil(F.count("*") / F.lit(hub_rows)).cast("int").alias("parts"))
-    )
-    rest = [c for c in links.columns if c != "node_id"]
+    parts = F.ceil(F.count("*") / F.lit(hub_rows)).cast("int")
+    hubs = cut_lineage(links.groupBy("node_id").agg(parts.alias("parts")).filter(F.col("parts") > 1))
     width = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        links.join(parts, "node_id")
-        .withColumn("part", F.pmod(F.xxhash64(*rest), F.col("parts")).cast("int"))
-        .drop("parts")
-        .repartition(width, "node_id", "part")
-        .persist(StorageLevel.DISK_ONLY)
-    )
+    if hubs.isEmpty():
+        hubs, placed = None, links.repartition(width, "node_id")
+    else:
+        part = F.pmod(F.xxhash64(*[c for c in links.columns if c != "node_id"]), F.coalesce("parts", F.lit(1)))
+        placed = (
+            links.join(hubs, "node_id", "left").withColumn("part", part.cast("int")).drop("parts")
+            .repartition(width, "node_id", "part")
+        )
+    placed = placed.persist(StorageLevel.DISK_ONLY)
     try:
-        yield placed, parts
+        yield _Placed(placed, hubs)
     finally:
         placed.unpersist()
 
 
-def _expand(nodes: DataFrame, placed: DataFrame) -> DataFrame:
-    """Node rows, which carry ``parts``, joined with all their links."""
-    copies = nodes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    return copies.join(placed, ["node_id", "part"]).drop("part")
-
-
 def degrees(edges: DataFrame) -> DataFrame:
     """In plus out degree per connected node."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("node_id"))
@@ -109,14 +120,13 @@ def _breadth_first(edges: DataFrame, vertices: DataFrame, landmarks: Sequence[st
     here, there = ("src", "dst") if direction == "from" else ("dst", "src")
     links = edges.select(F.col(here).alias("node_id"), F.col(there).alias("next")).distinct()
     key = ["node_id", "landmark"]
-    with _placed(links, hub_rows) as (placed, parts):
+    with _placed(links, hub_rows) as placed:
         start = vertices.filter(F.col("id").isin(*landmarks))
         seen = cut_lineage(start.select(F.col("id").alias("node_id"), F.col("id").alias("landmark"), F.lit(0).alias("hops")))
         frontier, step = seen, 0
         while True:
             step += 1
-            nodes = frontier.select(*key).join(parts, "node_id")
-            reached = _expand(nodes, placed).select(F.col("next").alias("node_id"), "landmark").distinct()
+            reached = placed.expand(frontier.select(*key)).select(F.col("next").alias("node_id"), "landmark").distinct()
             frontier = cut_lineage(reached.join(seen, key, "left_anti").withColumn("hops", F.lit(step)))
             if frontier.isEmpty():
                 return seen
@@ -141,14 +151,14 @@ def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows
     def label(total: Column, hops: Column) -> Column:
         return F.struct(total.alias("cost"), hops.alias("hops")).alias("label")
 
-    with _placed(links, hub_rows) as (placed, parts):
+    with _placed(links, hub_rows) as placed:
         best = cut_lineage(
             edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), label(F.lit(0.0), F.lit(0)))
         )
         frontier = best
         while True:
             offers = (
-                _expand(frontier.join(parts, "node_id"), placed)
+                placed.expand(frontier)
                 .select("next", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1))
                 .groupBy(F.col("next").alias("node_id"))
                 .agg(F.min("label").alias("label"))
@@ -168,7 +178,7 @@ def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows
             F.col("label.hops") + 1 == F.col("after.hops")
         )
         previous = cut_lineage(
-            _expand(best.join(parts, "node_id"), placed).join(after, "next").filter(on_path)
+            placed.expand(best).join(after, "next").filter(on_path)
             .groupBy(F.col("next").alias("to")).agg(F.min("node_id").alias("previous"))
         )
     return best.join(previous, best["node_id"] == previous["to"], "left").select(
@@ -188,24 +198,23 @@ def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: f
     )
     nodes = vertices.select(F.col("id").alias("node_id")).distinct()
     total = nodes.agg(F.count("*")).scalar()
+    senders = out.select(F.col("src").alias("node_id"), F.lit(True).alias("sends"))
     received_rank = F.coalesce("received", F.lit(0.0)) + F.col("idle") / F.col("total")
-    with _placed(shares, hub_rows) as (placed, parts):
-        # ``parts`` is null for nodes without out-edges.
+    with _placed(shares, hub_rows) as placed:
         rank = cut_lineage(
-            nodes.join(parts, "node_id", "left").withColumn("total", total)
-            .withColumn("rank", F.lit(1.0) / F.col("total"))
+            nodes.join(senders, "node_id", "left").withColumn("total", total)
+            .select("node_id", F.coalesce("sends", F.lit(False)).alias("sends"), "total", (F.lit(1.0) / F.col("total")).alias("rank"))
         )
         for _ in range(rounds):
-            senders = rank.filter(F.col("parts").isNotNull()).select("node_id", "rank", "parts")
             received = (
-                _expand(senders, placed)
+                placed.expand(rank.filter("sends").select("node_id", "rank"))
                 .groupBy(F.col("next").alias("node_id"))
                 .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
             )
-            idle = F.coalesce(rank.filter(F.col("parts").isNull()).agg(F.sum("rank")).scalar(), F.lit(0.0))
+            idle = F.coalesce(rank.filter(~F.col("sends")).agg(F.sum("rank")).scalar(), F.lit(0.0))
             rank = cut_lineage(
                 rank.drop("rank").join(received, "node_id", "left").withColumn("idle", idle).select(
-                    "node_id", "parts", "total",
+                    "node_id", "sends", "total",
                     (F.lit(1.0 - damping) / F.col("total") + F.lit(damping) * received_rank).alias("rank"),
                 )
             )

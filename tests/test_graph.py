@@ -143,15 +143,16 @@ def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
     links = e.select(F.col("src").alias("node_id"), F.col("dst").alias("next"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        with graph._placed(links, 3) as (placed, parts):
-            assert parts.filter("parts > 1").count() > 0
-            joined = graph._expand(parts, placed)
-            assert joined.count() == len(edges)
-            joined.collect()
-            final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-            cached = final.index("InMemoryTableScan")
-            path = final[final.rindex("SortMergeJoin", 0, cached):cached]
-            assert path.count("Exchange") == 1  # the node side only
+        for hub_rows in (3, 1000):
+            with graph._placed(links, hub_rows) as placed:
+                assert (placed.hubs is None) == (hub_rows == 1000)
+                joined = placed.expand(links.select("node_id").distinct())
+                assert joined.count() == len(edges)
+                joined.collect()
+                final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+                before_links = final[:final.index("InMemoryTableScan")]
+                links_side = before_links[before_links.rindex("SortMergeJoin"):].splitlines()[-4:]
+                assert not any("Exchange" in line for line in links_side)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
