@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.functions.skew import lookup
 from harborline.session import cut_lineage
 
 _COMPACT_EVERY = 8
@@ -189,43 +190,46 @@ def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows
 def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: float = 0.85,
              hub_rows: int = HUB_ROWS) -> DataFrame:
     """PageRank that sums to one; rank of nodes without out-edges is spread over all nodes."""
-    out = edges.groupBy("src").agg(F.count("*").alias("links"))
     # One row per distinct pair keeps parallel edges as a factor instead of as repeated rows.
-    shares = (
-        edges.groupBy("src", "dst").agg(F.count("*").alias("times"))
-        .join(out, "src")
-        .select(F.col("src").alias("node_id"), F.col("dst").alias("next"), (F.col("times") / F.col("links")).alias("share"))
-    )
+    pairs = edges.groupBy(F.col("src").alias("node_id"), F.col("dst").alias("next")).agg(F.count("*").alias("times"))
     nodes = vertices.select(F.col("id").alias("node_id")).distinct()
     total = nodes.agg(F.count("*")).scalar()
-    senders = out.select(F.col("src").alias("node_id"), F.lit(True).alias("sends"))
+    # The number of links travels with the node, so the edges never meet a table of degrees.
+    out = edges.groupBy(F.col("src").alias("node_id")).agg(F.count("*").alias("links"))
     received_rank = F.coalesce("received", F.lit(0.0)) + F.col("idle") / F.col("total")
-    with _placed(shares, hub_rows) as placed:
+    with _placed(pairs, hub_rows) as placed:
         rank = cut_lineage(
-            nodes.join(senders, "node_id", "left").withColumn("total", total)
-            .select("node_id", F.coalesce("sends", F.lit(False)).alias("sends"), "total", (F.lit(1.0) / F.col("total")).alias("rank"))
+            nodes.join(out, "node_id", "left").withColumn("total", total)
+            .withColumn("rank", F.lit(1.0) / F.col("total"))
         )
         for _ in range(rounds):
             received = (
-                placed.expand(rank.filter("sends").select("node_id", "rank"))
+                placed.expand(rank.filter(F.col("links") > 0).select("node_id", "rank", "links"))
                 .groupBy(F.col("next").alias("node_id"))
-                .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
+                .agg(F.sum(F.col("rank") * (F.col("times") / F.col("links"))).alias("received"))
             )
-            idle = F.coalesce(rank.filter(~F.col("sends")).agg(F.sum("rank")).scalar(), F.lit(0.0))
+            idle = F.coalesce(rank.filter(F.col("links").isNull()).agg(F.sum("rank")).scalar(), F.lit(0.0))
             rank = cut_lineage(
                 rank.drop("rank").join(received, "node_id", "left").withColumn("idle", idle).select(
-                    "node_id", "sends", "total",
+                    "node_id", "links", "total",
                     (F.lit(1.0 - damping) / F.col("total") + F.lit(damping) * received_rank).alias("rank"),
                 )
             )
     return rank.select("node_id", F.col("rank").alias("pagerank"))
 
 
-def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+def _with_root(links: DataFrame, roots: DataFrame, hub_rows: int) -> DataFrame:
+    """Links ``high, low`` with the root of ``high``; hubs, if there are any, go the skew-safe way."""
+    if roots.filter(F.col("rows") > hub_rows).isEmpty():
+        return links.join(roots.drop("rows"), "high")
+    return lookup(links, roots, "high", "rows", ["high", "low"])
+
+
+def components(edges: DataFrame, vertices: DataFrame, hub_rows: int = HUB_ROWS) -> DataFrame:
     """Connected components, labelled with the smallest node id, ignoring edge direction.
 
     Alternating large-star and small-star rounds: the number of rounds grows with the logarithm of
-    the graph size. Both steps only group by node and take a minimum before they join.
+    the graph size. A node with very many neighbours is handled by the skew-safe lookup.
     """
     links = cut_lineage(
         edges.filter(F.col("src") != F.col("dst"))
@@ -234,16 +238,18 @@ def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     )
     while True:
         both = links.unionByName(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
-        smallest = both.groupBy("high").agg(F.min(F.least("high", "low")).alias("root"))
+        smallest = cut_lineage(
+            both.groupBy("high").agg(F.min(F.least("high", "low")).alias("root"), F.count("*").alias("rows"))
+        )
         large = cut_lineage(
-            both.join(smallest, "high")
+            _with_root(both, smallest, hub_rows)
             .filter(F.col("low") > F.col("high"))
             .select(F.col("low").alias("high"), F.col("root").alias("low"))
             .distinct()
         )
-        roots = large.groupBy("high").agg(F.min("low").alias("root"))
+        roots = cut_lineage(large.groupBy("high").agg(F.min("low").alias("root"), F.count("*").alias("rows")))
         # Neighbours other than the root hang under it, and the node itself as well.
-        hung = large.join(roots, "high").filter(F.col("low") != F.col("root")).select(
+        hung = _with_root(large, roots, hub_rows).filter(F.col("low") != F.col("root")).select(
             F.col("low").alias("high"), F.col("root").alias("low")
         )
         new = cut_lineage(

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.functions.bands import risk_label
+from harborline.session import per_key
 
 # Fixed values.
 SEED = 42
@@ -45,11 +46,15 @@ def split(df: DataFrame, key: Sequence[str], test_share: float = 0.2) -> tuple[D
     return df.filter(bucket >= test_share), df.filter(bucket < test_share)
 
 
-def eta_features(context: DataFrame, weather: DataFrame) -> DataFrame:
-    """Per ship: what the arrival regression and the rupture classifier look at."""
+def eta_features(context: DataFrame, weather: DataFrame, routes: DataFrame) -> DataFrame:
+    """Per ship: what the arrival regression and the rupture classifier look at.
+
+    ``weather`` holds one row per route and port, so the wind table is bounded by the route table.
+    """
     wind = weather.select("route_id", F.col("port_ref").alias("dest_port"), "wind_speed_kmh")
+    key = ["route_id", "dest_port"]
     return (
-        context.join(wind, ["route_id", "dest_port"], "left")
+        context.join(per_key(routes.select(*key), wind, key), key, "left")
         .withColumn("wind_speed_kmh", F.coalesce("wind_speed_kmh", F.lit(0.0)))
         .withColumn("port_alert", F.when(F.col("port_operational_status") == "METEO_VIGILANCIA", 1.0).otherwise(0.0))
         .withColumn("eta_delay_hours", F.col("ship_remaining_hours") - F.col("sea_hours_estimate"))
@@ -144,9 +149,9 @@ def route_risk_models(route_risk: DataFrame) -> tuple[DataFrame, DataFrame, list
     return regression_metrics(regression.transform(test)), forest.transform(banded), clusters.clusterCenters()
 
 
-def retrain(context: DataFrame, weather: DataFrame, path: str) -> DataFrame:
+def retrain(context: DataFrame, weather: DataFrame, routes: DataFrame, path: str) -> DataFrame:
     """Monthly job: fit both per-ship models, save them, and return their metrics."""
-    rows = eta_features(context, weather)
+    rows = eta_features(context, weather, routes)
     eta_model, eta_rows = fit_eta(rows)
     rupture_model, rupture_rows = fit_rupture(rows)
     eta_model.write().overwrite().save(f"{path}/eta")

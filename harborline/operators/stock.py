@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harborline.functions.bands import cover_band, stock_light
 from harborline.functions.calendar import add_hours, days_between, industrial_week, week_names
 from harborline.functions.columns import first_available, where_given
+from harborline.functions.skew import lookup
 
 # Fixed values.
 WAREHOUSE_CAPACITY_PIECES = 10_000
@@ -21,17 +22,21 @@ def orders_for(orders: DataFrame, customer_city: str | None = None, industrial_w
     return where_given(orders, customer_city=customer_city, industrial_week=industrial_week)
 
 
-def ordered_pieces(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("article_ref").agg(F.sum("ordered_pieces").alias("ordered_pieces"))
+def order_totals(orders: DataFrame) -> DataFrame:
+    """Ordered pieces and number of orders per article."""
+    return orders.groupBy("article_ref").agg(
+        F.sum("ordered_pieces").alias("ordered_pieces"), F.count("*").alias("order_lines")
+    )
 
 
-def stock_context(articles: DataFrame, orders: DataFrame) -> DataFrame:
+def stock_context(articles: DataFrame, totals: DataFrame) -> DataFrame:
     """Stock left after orders, traffic light and hours to stock-out per article."""
     available, daily = F.col("available_after_orders"), F.col("daily_consumption_avg")
     hours = F.round(F.try_divide(F.greatest(F.lit(0), available), daily) * F.lit(24), 1)
     return (
-        articles.join(ordered_pieces(orders), "article_ref", "left")
+        articles.join(totals, "article_ref", "left")
         .withColumn("ordered_pieces", F.coalesce("ordered_pieces", F.lit(0)))
+        .withColumn("order_lines", F.coalesce("order_lines", F.lit(0)))
         .withColumn("available_after_orders", F.col("total_stock_pieces") - F.col("ordered_pieces"))
         .withColumn("stock_status", stock_light(available, F.col("safety_stock_min"), daily))
         .withColumn("hours_to_stockout", F.when(daily > 0, hours).otherwise(0.0))
@@ -76,7 +81,8 @@ def warehouse_capacity(articles: DataFrame, capacity: int = WAREHOUSE_CAPACITY_P
 def orders_coverage(orders: DataFrame, context: DataFrame, best_air: DataFrame, as_of: Column) -> DataFrame:
     """Arrival against delivery date per order; orders of unknown articles are left out.
 
-    Orders meet the article rows on ``article_ref``; the port options are at most one row per port.
+    The port options are at most one row per port. Orders meet their article through a skew-safe lookup,
+    since one article may hold a large share of all orders.
     """
     options = best_air.select(
         F.col("dest_port").alias("inbound_port"), "ship_remaining_hours", "air_total_eta_hours", "air_total_cost_eur",
@@ -89,10 +95,11 @@ def orders_coverage(orders: DataFrame, context: DataFrame, best_air: DataFrame,
         add_hours(as_of, F.when(F.col("stock_status") == "ROJO", air_eta).otherwise(ship_eta)).alias("arrival_valladolid"),
         F.coalesce("recommended_mode", F.lit("MARITIMO")).alias("recommended_mode"),
         F.coalesce("air_total_cost_eur", F.lit(0.0)).alias("air_total_cost_eur"),
+        "order_lines",
     )
     needed = F.col("planned_delivery_date").cast("timestamp_ntz")
     return (
-        orders.join(per_article, "article_ref")
+        lookup(orders, per_article, "article_ref", "order_lines", spread_by=["order_id"])
         .withColumn("margin_days", days_between(F.col("arrival_valladolid"), needed))
         .select(
             "order_id", "article_ref", "customer_city", "industrial_week",

@@ -422,7 +422,7 @@ def corridor_pairs(d: Domain) -> DataFrame:
 
 @query
 def stock_context(d: Domain) -> DataFrame:
-    return d.stock_context.drop("unit_volume_m3", "unit_weight_kg", "lead_time_days")
+    return d.stock_context.drop("unit_volume_m3", "unit_weight_kg", "lead_time_days", "order_lines")
 
 
 @query
@@ -433,7 +433,7 @@ def stock_table(d: Domain) -> DataFrame:
 @query
 def stock_table_douai_iw20(d: Domain) -> DataFrame:
     """Stock table with the orders of one customer and week."""
-    return stock.stock_table(stock.stock_context(d.articles, stock.orders_for(d.orders, "Douai", "IW20")))
+    return stock.stock_table(stock.stock_context(d.articles, stock.order_totals(stock.orders_for(d.orders, "Douai", "IW20"))))
 
 
 @query
@@ -611,7 +611,7 @@ def stream_raw_landing(d: Domain) -> DataFrame:
 
 
 def _model_rows(d: Domain) -> DataFrame:
-    return cut_lineage(models.eta_features(d.air_context, d.latest_operational))
+    return cut_lineage(models.eta_features(d.air_context, d.latest_operational, d.routes))
 
 
 @query

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborline.functions import bands, calendar, columns, geo
+from harborline.functions.skew import lookup
 from harborline.functions.ranking import drop_repeats, first_per, row_index
 from harborline.sources.master import master, waypoint_rows
 
@@ -139,3 +140,21 @@ def test_drop_repeats_does_not_depend_on_arrival(spark):
     one = drop_repeats(spark.createDataFrame(rows, "k string, n int, v string"), ["k", "n"])
     two = drop_repeats(spark.createDataFrame(rows[::-1], "k string, n int, v string").repartition(4), ["k", "n"])
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) == [("a", 1, "b"), ("b", 2, None)]
+
+
+def test_lookup_with_a_hot_key(spark):
+    """One key holds most rows; every row finds its table row once and the hot rows spread over tasks."""
+    big = spark.range(6000).select(F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"), "id")
+    counts = big.groupBy("k").agg(F.count("*").alias("rows")).withColumn("name", F.upper("k")).filter("k <> 'k1'")
+    joined = lookup(big, counts, "k", "rows", ["id"], max_hot=4)
+    plain = big.join(counts.drop("rows"), "k").select("k", "id", "name")
+    assert joined.columns == ["k", "id", "name"]
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = lookup(big, counts, "k", "rows", ["id"], max_hot=4).withColumn("task", F.spark_partition_id())
+        assert placed.select("k", "task").distinct().filter("k = 'hot'").count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

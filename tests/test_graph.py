@@ -128,7 +128,7 @@ def test_components_of_sparse_graphs(spark, seed):
 
 
 def test_components_of_a_chain_and_a_star(spark):
-    chain = [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(40)]
+    chain = [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(16)]
     star = [("s99", f"s{i:02d}") for i in range(60)]
     nodes = sorted({n for p in chain + star for n in p}) + ["alone"]
     v, e = frames(spark, nodes, [(a, b, 1.0) for a, b in chain + star])
@@ -137,6 +137,12 @@ def test_components_of_a_chain_and_a_star(spark):
     assert set(got.values()) == {"c00", "s00", "alone"}
 
 
+def test_components_with_a_hub(spark):
+    star = [("n50", f"n{i:02d}") for i in range(100) if i != 50]
+    v, e = frames(spark, [f"n{i:02d}" for i in range(100)], [(a, b, 1.0) for a, b in star])
+    assert {r.component for r in graph.components(e, v, hub_rows=20).collect()} == {"n00"}
+
+
 def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
     nodes, edges = random_graph
     _, e = frames(spark, nodes, edges)

@@ -44,7 +44,7 @@ def test_horizon_against_a_plain_loop(spark):
         "dest_port string, ship_id string, ship_remaining_hours double, air_total_eta_hours double, air_total_cost_eur double, recommended_mode string",
     )
     as_of = moment("2026-04-01 00:00:00")
-    coverage = stock.orders_coverage(orders, stock.stock_context(articles, orders), best, as_of)
+    coverage = stock.orders_coverage(orders, stock.stock_context(articles, stock.order_totals(orders)), best, as_of)
     horizon = stock.stock_horizon(articles, orders, coverage)
     got = {(r.article_ref, r.industrial_week): r for r in horizon.collect()}
     assert len(got) == 100

@@ -72,6 +72,6 @@ def test_incomplete_rows_are_left_out(spark):
 
 def test_retrain_saves_loadable_models(spark, sf_dir, tmp_path):
     d = Domain(spark, sf_dir)
-    report = models.retrain(cut_lineage(d.air_context), d.latest_operational, str(tmp_path))
+    report = models.retrain(cut_lineage(d.air_context), d.latest_operational, d.routes, str(tmp_path))
     assert {r.model for r in report.collect()} == {"eta", "rupture"}
     assert PipelineModel.load(f"{tmp_path}/eta").stages and PipelineModel.load(f"{tmp_path}/rupture").stages

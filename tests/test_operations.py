@@ -224,7 +224,7 @@ def test_harbour_area_is_not_transit(spark, dims):
 
 
 def test_traffic_light(dims):
-    rows = {r.article_ref: r for r in stock.stock_context(dims["dim_articles_valladolid"], dims["fact_customer_orders_douai"]).collect()}
+    rows = {r.article_ref: r for r in stock.stock_context(dims["dim_articles_valladolid"], stock.order_totals(dims["fact_customer_orders_douai"])).collect()}
     ecu = rows["1000002087"]
     assert (ecu.available_after_orders, ecu.stock_status, ecu.hours_to_stockout) == (18, "ROJO", 39.3)
 
@@ -290,5 +290,5 @@ def test_no_orders_gives_full_service(spark, dims):
     orders = dims["fact_customer_orders_douai"].filter("false")
     options = spark.createDataFrame([], "ship_id string, time_saved_hours double, recommended_mode string")
     voyages = spark.createDataFrame([], "eta_hours_estimate double")
-    row = kpis.control_tower(stock.stock_context(dims["dim_articles_valladolid"], orders), voyages, orders, options).first()
+    row = kpis.control_tower(stock.stock_context(dims["dim_articles_valladolid"], stock.order_totals(orders)), voyages, orders, options).first()
     assert (row.otif, row.best_mode, row.eta_avg, row.critical_refs) == (100.0, "N/A", 0.0, 1)
