@@ -22,20 +22,15 @@ HEADLINE = [
     "weather_enriched",
     "latest_vehicle_state",
     "ship_eta_table",
-    "ship_scenarios",
     "fact_alerts",
     "air_recovery_options",
-    "flight_verdict",
     "stock_context",
     "orders_coverage",
     "stock_horizon",
-    "control_tower_kpis",
-    "weekly_demand",
     "trade_centrality",
     "graph_hops",
     "graph_shortest_time",
     "graph_pagerank",
-    "graph_components",
     "windowed_ship_metrics",
     "window_risk_class",
     "stream_ship_metrics",
