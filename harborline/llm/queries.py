@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import fingerprints, mixing, near_dup, packing, pii, token_count, topk, toxicity, url_filter
+from harborline.llm import fingerprints, mixing, near_dup, packing, pii, suffix_dedup, token_count, topk, toxicity, url_filter
 from harborline.llm.common import table
 
 #: The rules of the pages query, as (verdict, host, path).
@@ -43,6 +43,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", near_dup.unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -67,8 +71,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        op1_mixing, op2_fingerprints, op3_topk, op4_toxicity, op6_simhash_groups, op7_packing, op8_url_rules,
-        op9_personal_data, op10_token_counts,
+        op1_mixing, op2_fingerprints, op3_topk, op4_toxicity, op5_repeats, op6_simhash_groups, op7_packing,
+        op8_url_rules, op9_personal_data, op10_token_counts,
     ]
     return {q.__name__: q for q in own}
 

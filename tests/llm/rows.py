@@ -18,7 +18,7 @@ def make(n=60, seed=7):
     rows += [
         (100, None, None, None), (101, "", "en", "s1"), (102, " \t\n ", "en", "s2"), (None, "no id at all", "en", "s1"),
         (None, None, None, "s1"), (103, "long " * 30_000, "en", "s3"), (104, "n" * 70_001, "de", "s3"), (105, "😀é " * 50, "en", "s9"),
-        (106, "mail a.b@c.example.com or +1 (212) 555-0100 then 10.0.0.1 4111 1111 1111 1111", "en", "s2"),
+        (106, "mail a.b@c.example.com or +1 (212) 555-0100 then 10.0.0.1, card 4111 1111 1111 1111", "en", "s2"),
     ]
     rows += rows[:4] + [rows[0]] * 3  # repeated rows
     rows += [(200 + k, rows[5][1], "en", "s1") for k in range(6)]  # copies
