@@ -15,13 +15,17 @@ from harborline.session import shared_dir
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 _SLICE_ROWS = 256
+_BATCH_SETTING, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1024
 
 
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, if that folder exists on their machine.
 
-    Clusters that do not share it get the package with ``--py-files``.
+    Clusters that do not share it get the package with ``--py-files``. Texts are long, so Arrow batches get fewer rows than
+    usual, unless the session says otherwise.
     """
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
