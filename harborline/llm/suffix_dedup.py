@@ -30,8 +30,9 @@ from harborline.llm.common import small_batches, stored, texts
 
 LENGTH = 200
 SEED_LENGTH = 32
-#: From this many contexts of one substring on, their windows are counted as rows, not within a task.
-IN_TASK = 2048
+#: A task holds the contexts of one substring up to this many, some 8 MB and a few hundred MB of window names at most; beyond it
+#: their windows are counted as rows.
+IN_TASK = 32_768
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _TABLE = np.random.default_rng(20).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64)
@@ -188,7 +189,7 @@ def _count_in_task(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in small_batches(batches, 4 * IN_TASK):
+        for batch in small_batches(batches, 4096):
             held.append(batch)
             whole = pa.Table.from_batches(held).combine_chunks()
             key = whole.column("key").to_numpy()
