@@ -34,6 +34,11 @@ HEADLINE = [
     "windowed_ship_metrics",
     "window_risk_class",
     "stream_ship_metrics",
+    "graph_components",
+    "ship_scenarios",
+    "flight_verdict",
+    "control_tower_kpis",
+    "weekly_demand",
 ]
 
 

@@ -207,8 +207,8 @@ def distinct_values(df: DataFrame, column: str, limit: int | None = None) -> Dat
     return values.limit(limit) if limit else values
 
 
-def weekly_demand(orders: DataFrame, customer_city: str | None = None, first_weeks: int | None = 10) -> DataFrame:
-    """Pieces per week over the first weeks of the calendar; a week without orders shows zero.
+def weekly_demand(orders: DataFrame, customer_city: str | None = None, first_weeks: int | None = None) -> DataFrame:
+    """Pieces per week of the calendar, or of its first weeks; a week without orders shows zero.
 
     The calendar holds every week of all customers, so a filter on one customer keeps empty weeks.
     """

@@ -69,10 +69,11 @@ def message_stream(
     return reader.load(topics)
 
 
-def table_rows(spark: SparkSession, table: str, columns: Sequence[str] | None = None, limit: int = 1000) -> DataFrame:
-    """Projected, row-limited look at a catalog table."""
+def table_rows(spark: SparkSession, table: str, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Projected look at a catalog table; all rows unless a limit is given."""
     df = spark.table(table)
-    return (df.select(*columns) if columns else df).limit(limit)
+    df = df.select(*columns) if columns else df
+    return df if limit is None else df.limit(limit)
 
 
 # Catalog names behind the named results of the serving layer.
@@ -91,7 +92,7 @@ NAMED_RESULTS = {
 
 
 def named_result(spark: SparkSession, name: str, database: str, columns: Sequence[str] | None = None,
-                 limit: int = 1000) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     return table_rows(spark, f"{database}.{NAMED_RESULTS[name]}", columns, limit)
 
 

@@ -103,6 +103,24 @@ def read_latest_version(spark: SparkSession, base: str, before: int | None = Non
     return spark.read.parquet(version_path(base, versions[-1])) if versions else None
 
 
+def version_for(spark: SparkSession, base: str, origin: str) -> int:
+    """Version that the batch ``origin`` writes: the one it was given before, or the next after all given so far.
+
+    The choice is noted as an empty file before anything is written, so a replay finds it.
+    """
+    files, root = _folder(spark, f"{base}/_origins")
+    given = {}
+    if files.exists(root):
+        for status in files.listStatus(root):
+            name, version = status.getPath().getName().rsplit(".", 1)
+            given[name] = int(version)
+    if origin not in given:
+        given[origin] = max([*given.values(), *complete_versions(spark, base), -1]) + 1
+        files, note = _folder(spark, f"{base}/_origins/{origin}.{given[origin]}")
+        files.create(note).close()
+    return given[origin]
+
+
 def upsert_latest(new_rows: DataFrame, base: str, version: int, keys: Sequence[str], ts: str,
                   tie: Sequence[str] = ()) -> None:
     """Merge rows into the latest-state table: newest row per key wins, whatever the arrival order.

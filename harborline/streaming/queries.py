@@ -14,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from harborline.functions.calendar import event_time
 from harborline.operators import staging, weather
-from harborline.sources.writers import conform, read_latest_version, upsert_latest
+from harborline.sources.writers import conform, drop_old_versions, read_latest_version, upsert_latest, version_for
 from harborline.streaming import windows
 
 MICRO_BATCH = {"availableNow": True}
@@ -39,22 +39,32 @@ def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     return writer.trigger(**dict(trigger)).start()
 
 
-def _batch_folder(table: str, path: str) -> Callable[[DataFrame, int], None]:
-    """Each batch overwrites its own folder, so a replay after a failure adds nothing twice."""
+def _run_name(checkpoint: str) -> str:
+    """Name of the query version that a checkpoint belongs to; batch ids are unique within it only."""
+    return checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _batch_folder(table: str, path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Each batch overwrites its own folder, so a replay after a failure adds nothing twice.
+
+    A new checkpoint counts batches from 0 again; its name keeps its folders apart from those of the versions before.
+    """
+    run = _run_name(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = conform(batch, table, processed_at=F.current_timestamp())
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={run}-{batch_id}")
     return write
 
 
 def ship_metrics_query(ships: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
     metrics = windows.ship_metrics(windows.with_watermark(ships))
-    return start_batches(metrics, _batch_folder("ship_metrics", path), checkpoint, trigger)
+    return start_batches(metrics, _batch_folder("ship_metrics", path, checkpoint), checkpoint, trigger)
 
 
 def alert_metrics_query(alerts: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
     metrics = windows.alert_metrics(windows.with_watermark(alerts))
-    return start_batches(metrics, _batch_folder("alert_metrics", path), checkpoint, trigger)
+    return start_batches(metrics, _batch_folder("alert_metrics", path, checkpoint), checkpoint, trigger)
 
 
 def weather_fact_query(snapshots: DataFrame, context: DataFrame, path: str, checkpoint: str,
@@ -70,9 +80,18 @@ def weather_fact_query(snapshots: DataFrame, context: DataFrame, path: str, chec
 
 def latest_state_query(ships: DataFrame, base: str, checkpoint: str, tie: Sequence[str] = (),
                        trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
-    """Keep the newest row per ship, merged batch by batch into a versioned table."""
+    """Keep the newest row per ship, merged batch by batch into a versioned table.
+
+    Versions go on counting when the checkpoint changes, and a replayed batch gets the version it had; older versions than
+    the last two are removed.
+    """
+    run = _run_name(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_latest(batch, base, batch_id, ["ship_id"], "event_ts", tie)
+        version = version_for(batch.sparkSession, base, f"{run}-{batch_id}")
+        upsert_latest(batch, base, version, ["ship_id"], "event_ts", tie)
+        drop_old_versions(batch.sparkSession, base)
+
     return start_batches(ships, write, checkpoint, trigger)
 
 

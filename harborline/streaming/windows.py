@@ -51,12 +51,13 @@ def window_risk(ship_windows: DataFrame, alert_windows: DataFrame) -> DataFrame:
     """Risk class per window, destination and route, from the window's alert severity and speed spread.
 
     Alerts are first reduced to one row per window (mean over all its alerts), so the join does not
-    pair every route with every region.
+    pair every route with every region. A window without alerts has severity 0.
     """
     severity = F.sum(F.col("avg_severity") * F.col("alert_count")) / F.sum("alert_count")
     per_window = alert_windows.groupBy("window_start").agg(severity.alias("severity_avg"))
     return (
-        ship_windows.join(per_window, "window_start")
+        ship_windows.join(per_window, "window_start", "left")
+        .withColumn("severity_avg", F.coalesce("severity_avg", F.lit(0.0)))
         .withColumn("risk_class", risk_class(F.round("severity_avg", 6), F.round("speed_std", 6)))
         .select("window_start", "window_end", "dest_port", "route_id", "severity_avg", "speed_std", "ship_count", "risk_class")
     )

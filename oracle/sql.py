@@ -382,7 +382,7 @@ def _stock() -> dict[str, str]:
             from lineitem join orders on l_orderkey = o_orderkey""",
         "weekly_demand": with_ctes("""
             select w.industrial_week, cast(coalesce(sum(o.ordered_pieces), 0) as bigint) as ordered_pieces
-            from (select distinct industrial_week from customer_orders order by 1 limit 10) w
+            from (select distinct industrial_week from customer_orders) w
             left join customer_orders o on o.industrial_week = w.industrial_week and o.customer_city = 'Douai' group by 1""", "customer_orders"),
         "distinct_weeks": with_ctes("select distinct industrial_week from customer_orders", "customer_orders"),
         "demand_projection": with_ctes("""
@@ -426,9 +426,9 @@ def _indicators() -> dict[str, str]:
         "window_risk_class": with_ctes("""
             select window_start, window_end, dest_port, route_id, round(severity_avg, 6) as severity_avg, round(speed_std, 6) as speed_std, ship_count,
               case when score >= 3.5 then 'CRITICO' when score >= 2.0 then 'ALTO' when score >= 1.0 then 'MEDIO' else 'BAJO' end as risk_class
-            from (select s.*, a.severity_avg,
-                0.7::double * round(a.severity_avg, 6) + 0.3::double * (coalesce(round(s.speed_std, 6), 0.0::double) / 10.0::double) as score
-              from ship_windows s join (select time_bucket(interval '15 minutes', ts) as window_start, avg(severity) as severity_avg
+            from (select s.*, coalesce(a.severity_avg, 0) as severity_avg,
+                0.7::double * round(coalesce(a.severity_avg, 0), 6) + 0.3::double * (coalesce(round(s.speed_std, 6), 0.0::double) / 10.0::double) as score
+              from ship_windows s left join (select time_bucket(interval '15 minutes', ts) as window_start, avg(severity) as severity_avg
                 from alerts group by 1) a on a.window_start = s.window_start)""", "ship_windows", "alerts"),
         "stream_ship_metrics": with_ctes(ship + closed.format(source="ships"), "ship_windows", "ships"),
         "stream_alert_metrics": with_ctes(alert + closed.format(source="alerts"), "alert_windows", "alerts"),

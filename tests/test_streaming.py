@@ -172,3 +172,30 @@ def test_a_failing_query_stops_the_other(spark, tmp_path):
     with pytest.raises(Exception, match="no store"):
         queries.run_together(spark, [steady, failing])
     assert not steady.isActive
+
+
+def test_a_new_checkpoint_keeps_what_was_written_before(spark, tmp_path):
+    from harborline.sources.writers import complete_versions, read_latest_version, version_for
+
+    base = str(tmp_path / "out")
+    for version, (ship, hour) in enumerate((("s1", 10), ("s9", 20)), start=1):
+        inbox = tmp_path / f"in{version}"
+        lines = [position(ship, f"2026-03-26T{hour + h:02d}:05:00") for h in range(3)]
+        inbox.mkdir()
+        (inbox / "a.json").write_text("\n".join(json.dumps(p) for p in lines))
+        for _ in range(2):
+            ships = ships_stream(spark, inbox)
+            queries.ship_metrics_query(ships, f"{base}/table", queries.checkpoint_path(base, "ships", version)).awaitTermination()
+            queries.latest_state_query(ships, f"{base}/state", queries.checkpoint_path(base, "state", version)).awaitTermination()
+    hours = {r.window_start.hour for r in spark.read.parquet(f"{base}/table").collect()}
+    assert {10, 11} <= hours and {20, 21} <= hours
+    assert {r.ship_id for r in read_latest_version(spark, f"{base}/state").collect()} == {"s1", "s9"}
+    versions = complete_versions(spark, f"{base}/state")
+    assert version_for(spark, f"{base}/state", "state-v2-0") == versions[-1]
+
+
+def test_windows_without_alerts_stay(spark):
+    ships = spark.sql("select timestamp'2026-01-01 00:00' window_start, timestamp'2026-01-01 00:15' window_end, 'a' dest_port, 'r' route_id, 0.0D speed_std, 1L ship_count")
+    alerts = spark.sql("select timestamp'2026-01-01 01:00' window_start, 2.0D avg_severity, 1L alert_count")
+    row = windows.window_risk(ships, alerts).first()
+    assert row.severity_avg == 0 and row.risk_class == "BAJO"
