@@ -2,15 +2,17 @@
 
 Every window of ``length`` bytes has one anchor: the leftmost place of the smallest hash among its short substrings, the same
 place in equal windows. The windows of one anchor follow each other; together they are its context. Contexts are named by
-hash and compared in three levels, each of which sees only what the one before could not settle:
+hash and compared in levels, each of which sees only what the one before could not settle:
 
 1. an anchor whose substring occurs once: none of its windows is repeated;
 2. a context that occurs twice or more: all its windows are repeated;
-3. different contexts with one substring: their windows are named one by one, once a context however often it occurs.
+3. different contexts with one substring are cut, and the two rules above hold again for the longer substring that all windows
+   of a cut have in common, and for the cut; the last cuts are single windows.
 
-Levels count by key with partial sums, so a passage that a third of all documents share is a few rows a task. In the last level
-the contexts of one substring meet in one task; where a substring has very many contexts its windows are counted as rows
-instead. Names are two 64-bit hashes. See the README for why names take the place of an external suffix array here.
+Every level counts by key with partial sums and then joins the counts, so no group of rows has to meet in one task, whatever a
+substring's share of the corpus, and a passage that a third of all documents share is a few rows a task. A context that occurs
+more than once goes to the next level once. Names are two 64-bit hashes. See the README for why names take the place of an
+external suffix array here.
 
 Defined results: a null text counts as empty; null ids are kept; repeated rows and copies are repeats of each other; texts shorter
 than ``length`` lose nothing and are no repeat; an empty table gives an empty result; further columns are left out.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,15 @@ from harborline.llm.common import small_batches, stored, texts
 
 LENGTH = 200
 SEED_LENGTH = 32
-#: A task holds the contexts of one substring up to this many, some 8 MB and a few hundred MB of window names at most; beyond it
-#: their windows are counted as rows.
-IN_TASK = 32_768
+#: A unit is cut into this many at each further level.
+FAN = 4
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _TABLE = np.random.default_rng(20).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+_UNIT = {"row": pa.int64(), "at": pa.int32(), "before": pa.int16(), "behind": pa.int16(), "times": pa.int64(), "data": pa.binary()}
+_UNIT_SCHEMA = "row long, at int, before short, behind short, times long, data binary"
+_STARTS = ("row", "at - before as start", "at - behind as last")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -135,132 +140,115 @@ def scan(docs: DataFrame, length: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "row long, at int, before short, behind short, key long, context long")
 
 
-def _contexts(placed: DataFrame, length: int) -> DataFrame:
-    """``key, context, times, before, behind, data``: the bytes of the wanted contexts of each text."""
+def _units(placed: DataFrame, length: int) -> DataFrame:
+    """``row, at, before, behind, times, data``: the wanted contexts of each text with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 64):
             out = []
-            for text, wanted in zip(texts(batch), batch.column("contexts").to_pylist()):
+            for row, text, wanted in zip(batch.column("row").to_pylist(), texts(batch), batch.column("contexts").to_pylist()):
                 data = text.encode()
                 for c in wanted:
                     piece = data[c["at"] - c["before"]: c["at"] - c["behind"] + length]
-                    out.append((c["key"], c["context"], c["times"], c["before"], c["behind"], piece))
-            columns = list(zip(*out)) or [[]] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16(), pa.binary())
-            names = ("key", "context", "times", "before", "behind", "data")
-            yield pa.record_batch({k: pa.array(list(c), t) for k, c, t in zip(names, columns, kinds)})
+                    out.append((row, c["at"], c["before"], c["behind"], c["times"], piece))
+            columns = list(zip(*out)) or [[]] * len(_UNIT)
+            yield pa.record_batch({k: pa.array(list(c), t) for (k, t), c in zip(_UNIT.items(), columns)})
 
-    return placed.mapInArrow(run, "key long, context long, times int, before short, behind short, data binary")
-
-
-def _windows(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all windows of the contexts of a batch: the number of the context, how far before the anchor it starts, its name."""
-    pieces = batch.column("data").to_pylist()
-    before = batch.column("before").to_numpy().astype(np.int64)
-    count = before - batch.column("behind").to_numpy() + 1
-    which = np.repeat(np.arange(len(pieces)), count)
-    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    begins = np.cumsum([0, *map(len, pieces)])[:-1]
-    start = begins[which] + inner
-    return which, before[which] - inner, Names(b"".join(pieces), 1).of(start, start + length)
-
-
-def _count_in_task(contexts: DataFrame, length: int) -> DataFrame:
-    """``key, context, backs`` for contexts that occur once: their repeated windows; all contexts of a key meet here."""
-
-    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        which, back, name = _windows(batch, length)
-        key, times = batch.column("key").to_numpy(), batch.column("times").to_numpy()
-        order = np.lexsort((name, key[which]))
-        k, m = key[which][order], name[order]
-        new = np.concatenate([[True], (k[1:] != k[:-1]) | (m[1:] != m[:-1])]) if len(order) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
-        total = np.bincount(group, weights=times[which][order]) if len(order) else np.zeros(0)
-        hit = np.zeros(len(order), bool)
-        hit[order] = total[group] > 1
-        hit &= times[which] == 1
-        which, back = which[hit], back[hit]
-        owners, at = np.unique(which, return_index=True)
-        return pa.record_batch({
-            "key": pa.array(key[owners]), "context": pa.array(batch.column("context").to_numpy()[owners]),
-            "backs": pa.array([part.astype(np.int16) for part in np.split(back, at[1:])] if len(owners) else [], pa.list_(pa.int16())),
-        })
+    return placed.mapInArrow(run, _UNIT_SCHEMA)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in small_batches(batches, 4096):
-            held.append(batch)
-            whole = pa.Table.from_batches(held).combine_chunks()
-            key = whole.column("key").to_numpy()
-            ready = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
-            if ready:
-                yield of(whole.slice(0, ready).combine_chunks().to_batches()[0])
-            held = whole.slice(ready).combine_chunks().to_batches()
-        if held:
-            yield of(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
-    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return contexts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "key long, context long, backs array<smallint>")
+def widths(windows: int) -> list[int]:
+    """How many neighbouring windows have a core in common, level by level; each divides the one before, the last is one."""
+    found = [1]
+    while found[-1] * FAN < windows:
+        found.append(found[-1] * FAN)
+    return found[::-1]
 
 
-def _count_as_rows(contexts: DataFrame, length: int) -> DataFrame:
-    """The same, every window a row: a window that very many contexts share is summed before it moves."""
+def _split(units: DataFrame, length: int, seed: int, width: int) -> DataFrame:
+    """The units cut where their windows' distance from the anchor passes a multiple of ``width``, with the key of each.
+
+    All windows of one cut hold the bytes from its last start to its first end: that core's name is the key. Equal windows
+    start equally far before their anchors, so they have equal keys.
+    """
+    most = length - seed + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            which, back, name = _windows(batch, length)
-            pick = lambda c: pa.array(batch.column(c).to_numpy()[which])
+        for batch in small_batches(batches, 4096):
+            pieces = batch.column("data").to_pylist()
+            joined = b"".join(pieces)
+            before, behind = (batch.column(c).to_numpy().astype(np.int64) for c in ("before", "behind"))
+            count = before // width - behind // width + 1
+            which = np.repeat(np.arange(len(pieces)), count)
+            cut = behind[which] // width + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+            low, high = cut * width, np.minimum((cut + 1) * width, most) - 1
+            far, near = np.minimum(before[which], high), np.maximum(behind[which], low)
+            at = (np.cumsum([0, *map(len, pieces)])[:-1] + before)[which]
+            start, end = at - far, at - near + length
+            with np.errstate(over="ignore"):
+                key = _mixed(Names(joined, 1).of(at - low, at - high + length) ^ (low * 1000003 + high).astype(np.uint64))
+                context = _mixed(Names(joined).of(start, end) ^ (far * 1000003 + near).astype(np.uint64))
+            same = {c: batch.column(c).take(pa.array(which)) for c in ("row", "at", "times")}
             yield pa.record_batch({
-                "key": pick("key"), "context": pick("context"), "times": pick("times"), "back": pa.array(back.astype(np.int16)),
-                "name": pa.array(name.astype(np.int64)),
+                "row": same["row"], "at": same["at"], "before": pa.array(far.astype(np.int16)), "behind": pa.array(near.astype(np.int16)),
+                "times": same["times"], "data": pa.array([joined[s:e] for s, e in zip(start.tolist(), end.tolist())], pa.binary()),
+                "key": pa.array(key.astype(np.int64)), "context": pa.array(context.astype(np.int64)),
             })
 
-    windows = contexts.mapInArrow(run, "key long, context long, times int, back short, name long")
-    twice = windows.groupBy("key", "name").agg(F.sum("times").alias("n")).filter(F.col("n") > 1).select("key", "name")
-    return windows.filter(F.col("times") == 1).join(twice, ["key", "name"], "left_semi").groupBy("key", "context").agg(F.collect_list("back").alias("backs"))
+    return units.mapInArrow(run, f"{_UNIT_SCHEMA}, key long, context long")
+
+
+def _open_keys(named: DataFrame) -> DataFrame:
+    """Keys with several contexts of which one at least occurs once; those of other keys are settled."""
+    return named.groupBy("key").agg(F.count("*").alias("kinds"), F.min("times").alias("least")).filter("kinds > 1 and least = 1").select("key")
+
+
+def _refined(units: DataFrame, length: int, seed: int) -> list[DataFrame]:
+    """``row, start, last``, level by level: first and last start of windows of the units that are repeated."""
+    marks = []
+    for width in widths(length - seed + 1):
+        parts = _split(units, length, seed, width)
+        named = stored(
+            parts.groupBy("key", "context").agg(F.sum("times").alias("times"), F.min(F.struct("row", "at", "behind")).alias("first")), "repeats-names"
+        )
+        opened = _open_keys(named).withColumn("open", F.lit(True))
+        state = named.join(opened, "key", "left").filter(F.col("open") | (F.col("times") > 1)).withColumnRenamed("times", "all_times")
+        met = stored(parts.join(state, ["key", "context"]), "repeats-parts")
+        marks.append(met.filter("times = 1 and all_times > 1").selectExpr(*_STARTS))
+        # of equal contexts one goes on, for the others to compare with
+        units = met.filter(F.col("open") & (F.struct("row", "at", "behind") == F.col("first"))).select(
+            "row", "at", "before", "behind", F.col("all_times").alias("times"), "data"
+        )
+    return marks
 
 
 def covered(n: int, marks: list[dict], length: int) -> np.ndarray:
-    """Which of n bytes lie in a repeated window; no ``backs`` stand for all windows of an anchor."""
+    """Which of n bytes lie in a window that starts from ``start`` to ``last`` of a mark."""
     edge = np.zeros(n + 1, dtype=np.int32)
     for m in marks:
-        if m["backs"] is None:
-            edge[m["at"] - m["before"]] += 1
-            edge[m["at"] - m["behind"] + length] -= 1
-        else:
-            start = m["at"] - np.array(m["backs"], dtype=np.int64)
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + length, -1)
+        edge[m["start"]] += 1
+        edge[m["last"] + length] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
-def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH, in_task: int = IN_TASK) -> DataFrame:
+def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = scan(rows.select("row", "text"), length, seed)
     repeated = stored(found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("key"), "repeats-keys")
     live = stored(found.join(repeated, "key", "left_semi"), "repeats-anchors")
     named = stored(
-        live.groupBy("key", "context").agg(
-            F.count("*").cast("int").alias("times"), F.min(F.struct("row", "at", "before", "behind")).alias("first")
-        ), "repeats-contexts",
+        live.groupBy("key", "context").agg(F.count("*").alias("times"), F.min(F.struct("row", "at", "before", "behind")).alias("first")),
+        "repeats-contexts",
     )
-    kinds = named.groupBy("key").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > 1)
-    # keys all of whose contexts are repeated are settled already
-    open_keys = kinds.join(named.filter(F.col("times") == 1).select("key").distinct(), "key")
-    one = F.struct(F.col("first.at").alias("at"), F.col("first.before").alias("before"), F.col("first.behind").alias("behind"), "key", "context", "times", "kinds")
+    one = F.struct(*[F.col(f"first.{c}").alias(c) for c in ("at", "before", "behind")], "times")
     wanted = stored(
-        named.join(open_keys, "key").groupBy(F.col("first.row").alias("row")).agg(F.collect_list(one).alias("contexts")), "repeats-open"
-    )
-    placed = rows.join(wanted, "row").select("text", "contexts")
-    few = placed.withColumn("contexts", F.filter("contexts", lambda c: c["kinds"] <= in_task))
-    many = placed.withColumn("contexts", F.filter("contexts", lambda c: c["kinds"] > in_task))
-    partly = _count_in_task(_contexts(few, length), length).unionByName(_count_as_rows(_contexts(many, length), length))
-    wholly = named.filter(F.col("times") > 1).select("key", "context", F.lit(None).cast("array<smallint>").alias("backs"))
-    marks = live.join(stored(partly.unionByName(wholly), "repeats-found"), ["key", "context"]).groupBy("row").agg(
-        F.collect_list(F.struct("at", "before", "behind", "backs")).alias("marks")
+        named.join(_open_keys(named), "key").groupBy(F.col("first.row").alias("row")).agg(F.collect_list(one).alias("contexts")), "repeats-open"
     )
+    units = _units(rows.join(wanted, "row").select("row", "text", "contexts"), length)
+    settled = [live.join(named.filter("times > 1").select("key", "context"), ["key", "context"], "left_semi").selectExpr(*_STARTS)]
+    found = reduce(DataFrame.unionByName, settled + _refined(stored(units, "repeats-units"), length, seed))
+    marks = found.groupBy("row").agg(F.collect_list(F.struct("start", "last")).alias("marks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 64):

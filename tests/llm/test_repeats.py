@@ -42,11 +42,10 @@ def passages(seed):
     return rows
 
 
-@pytest.mark.parametrize("in_task", [2048, 1])
-@pytest.mark.parametrize("length,seed", [(60, 12), (40, 39)])
-def test_removed_bytes_equal_brute_force(spark, length, seed, in_task):
+@pytest.mark.parametrize("length,seed", [(60, 12), (40, 39), (100, 8)])
+def test_removed_bytes_equal_brute_force(spark, length, seed):
     rows = passages(length)
-    got = suffix_dedup.drop_repeats(frame(spark, rows), length, seed, in_task)
+    got = suffix_dedup.drop_repeats(frame(spark, rows), length, seed)
     assert sorted_rows(got.collect()) == sorted_rows(plain(rows, length))
 
 
@@ -54,3 +53,15 @@ def test_default_length_and_awkward_rows(spark):
     rows = [r for r in make() if r[0] != 103] + [(300, "w" * 199, "en", "s"), (301, "w" * 199, "en", "s")]
     assert sorted_rows(suffix_dedup.drop_repeats(frame(spark, rows)).collect()) == sorted_rows(plain(rows, 200))
     assert suffix_dedup.drop_repeats(frame(spark, [])).collect() == []
+
+
+def test_line_with_many_surroundings(spark):
+    """One substring, a context for each document; some of the contexts share windows."""
+    rng = random.Random(5)
+    line = "the same line of the foot of every page " * 3
+    rows = [(i, f"{rng.random()}" * (i % 5) + line + f"{rng.randrange(20)}" * (i % 40), "en", "s") for i in range(300)]
+    assert sorted_rows(suffix_dedup.drop_repeats(frame(spark, rows), 130, 20).collect()) == sorted_rows(plain(rows, 130))
+
+
+def test_levels_divide_each_other():
+    assert suffix_dedup.widths(169) == [64, 16, 4, 1] and suffix_dedup.widths(2) == [1] and suffix_dedup.widths(1) == [1]
