@@ -15,7 +15,6 @@ table gives an empty result; further columns are left out.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import WORD, small_batches, texts
+from harborline.llm.common import small_batches, texts
 
 TIERS = (4096, 2048, 1024, 512)
 END_ID = 2
@@ -37,8 +36,10 @@ BUFFER = 1 << 20
 STEP_TOKENS = 1 << 16
 _ID = np.dtype("<u4")
 _PART_BITS = 36
-_MAX_KNOWN = 400_000
-_WORDS = re.compile(WORD)
+_MAX_KNOWN = 600_000
+_AT_ONCE = 4096
+_WORD_END = "</w>"
+_MARKS = b".,;:!?$%&*"
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long, "
     "sequence_tokens long, step_group long"
@@ -50,43 +51,72 @@ _ENCODERS: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Token ids of texts, for a tokenizer that never joins words across ASCII white space.
 
-    The ids of a word do not depend on its surroundings, so words are looked up and only new ones go to the tokenizer.
+    The ids of a word do not depend on its surroundings, so words are looked up as they stand. A new word is taken apart into
+    stem and mark where no token can cross, and only new stems go to the tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
+        # for words that normalizing only turns into lower case
+        self._plain = Tokenizer(self._tokenizer.model)
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self._known: dict[bytes, bytes] = {}
+        self._stems: dict[bytes, bytes] = {}
+        size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self._ends = np.array([str(self._tokenizer.id_to_token(i)).endswith(_WORD_END) for i in range(size)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit numbers."""
-        known = self._known
-        if len(known) > _MAX_KNOWN:
-            known.clear()
-        words = [_words(t) for t in texts]
-        new = list({w for part in words for w in part if w not in known})
-        for start in range(0, len(new), 4096):
-            part = new[start: start + 4096]
-            for word, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, dtype=_ID).tobytes()
+        known, stems = self._known, self._stems
+        for held in (known, stems):
+            if len(held) > _MAX_KNOWN:
+                held.clear()
+        # bytes are cut at ASCII white space alone
+        words = [t.encode().split() for t in texts]
+        taken = {w: _stem(w) for w in set().union(*words).difference(known)}
+        new = [s.decode() for s in {s for parts in taken.values() for s in parts}.difference(stems)]
+        letters = [s for s in new if s.isalpha() and max(s) < "\u0100"]
+        other = list(set(new).difference(letters))
+        for start in range(0, len(new), _AT_ONCE):
+            for some, encode in ((letters, self._joined), (other, self._single)):
+                part = some[start: start + _AT_ONCE]
+                stems.update(zip([s.encode() for s in part], encode(part)))
+        for word, parts in taken.items():
+            known[word] = b"".join(map(stems.__getitem__, parts))
         return [b"".join(map(known.__getitem__, part)) for part in words]
 
+    def _single(self, stems: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(stems, add_special_tokens=False)
+        return [np.array(f.ids, dtype=_ID).tobytes() for f in found]
 
-def _words(text: str) -> list[str]:
-    """Words as the vocabulary sees them: lower case, the usual marks behind a word apart from it, where that is certain.
+    def _joined(self, stems: list[str]) -> list[bytes]:
+        """The same for words of Latin-1 letters, as one text: the last token of each is its only one that ends a word."""
+        [found] = self._plain.encode_batch_fast([" ".join(stems).lower()], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=_ID)
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(stems):
+            return self._single(stems)
+        data, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
 
-    Only for words of ASCII letters; whatever else a word holds, it stays whole.
+
+def _stem(word: bytes) -> tuple[bytes, ...]:
+    """The word, ASCII words in lower case, apart from the marks behind its last letter.
+
+    A word with a special token's opening stays as it is, since special tokens are matched as written.
     """
-    out = []
-    for word in _WORDS.findall(text):
-        if word.isascii():
-            word = word.lower()
-            if word[-1] in ".," and word[:-1].isalpha():
-                out += (word[:-1], word[-1])
-                continue
-        out.append(word)
-    return out
+    if b"<|" in word:
+        return (word,)
+    if word.isascii():
+        word = word.lower()
+    stem = word.rstrip(_MARKS)
+    if stem and stem != word and (stem[-1:].isalpha() or stem.decode()[-1].lower().isalpha()):
+        return stem, word[len(stem):]
+    return (word,)
 
 
 def encoder(path: str) -> WordEncoder:

@@ -157,3 +157,14 @@ def test_fingerprints_of_near_texts_are_near(spark):
     assert got.fingerprint == made(text).hex() and made("") == bytes(16)
     heavy = fingerprints.Fingerprinter(weight=lambda h: np.full(len(h), 2.0))
     assert heavy(text) == made(text)
+
+
+def test_word_encoder_equals_the_tokenizer():
+    whole, encode = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    cases = [
+        "", " \n", "Plain words, and marks... more!!! it's we'll DON'T 'S. 12, x2. a&b* %%%", "<|ENDOFTEXT|> a<|endoftext|>. <|endoftext|>, <| endoftext|>",
+        "\u00c9\u0301. e\u0301, \u0130. I\u0307! x\u2003y. a\x1cb. \uff21B! \u0915\u093c. \u0958 gro\u00df* \u00aa. \u00b5, \u00a0? n\u00a0o.",
+    ]
+    cases += [r[1] or "" for r in make()]
+    for _ in range(2):
+        assert encode(cases) == [np.array(whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in cases]
