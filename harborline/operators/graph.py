@@ -149,18 +149,18 @@ def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows
         .groupBy(F.col("src").alias("node_id"), F.col("dst").alias("next")).agg(F.min(cost).alias("cost"))
     )
 
-    def label(total: Column, hops: Column) -> Column:
-        return F.struct(total.alias("cost"), hops.alias("hops")).alias("label")
+    def label(total: Column, hops: Column, previous: Column) -> Column:
+        return F.struct(total.alias("cost"), hops.alias("hops"), previous.alias("previous")).alias("label")
 
     with _placed(links, hub_rows) as placed:
-        best = cut_lineage(
-            edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), label(F.lit(0.0), F.lit(0)))
-        )
+        start = label(F.lit(0.0), F.lit(0), F.lit(None).cast("string"))
+        best = cut_lineage(edges.sparkSession.range(1).select(F.lit(source).alias("node_id"), start))
         frontier = best
         while True:
+            # The smallest label of a node is picked before the shuffle, so a hub sends few rows.
             offers = (
                 placed.expand(frontier)
-                .select("next", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1))
+                .select("next", label(F.col("label.cost") + F.col("cost"), F.col("label.hops") + 1, F.col("node_id")))
                 .groupBy(F.col("next").alias("node_id"))
                 .agg(F.min("label").alias("label"))
             )
@@ -170,26 +170,17 @@ def cheapest_paths(edges: DataFrame, source: str, cost: str = "weight", hub_rows
                 .drop("known")
             )
             if improved.isEmpty():
-                break
+                return best.select("node_id", "label.cost", "label.hops", "label.previous")
             best = cut_lineage(best.join(improved, "node_id", "left_anti").unionByName(improved))
             frontier = improved
 
-        after = best.select(F.col("node_id").alias("next"), F.col("label").alias("after"))
-        on_path = (F.col("label.cost") + F.col("cost") == F.col("after.cost")) & (
-            F.col("label.hops") + 1 == F.col("after.hops")
-        )
-        previous = cut_lineage(
-            placed.expand(best).join(after, "next").filter(on_path)
-            .groupBy(F.col("next").alias("to")).agg(F.min("node_id").alias("previous"))
-        )
-    return best.join(previous, best["node_id"] == previous["to"], "left").select(
-        "node_id", "label.cost", "label.hops", "previous"
-    )
 
-
-def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: float = 0.85,
+def pagerank(edges: DataFrame, vertices: DataFrame, tolerance: float = 1e-9, damping: float = 0.85,
              hub_rows: int = HUB_ROWS) -> DataFrame:
-    """PageRank that sums to one; rank of nodes without out-edges is spread over all nodes."""
+    """PageRank that sums to one; rank of nodes without out-edges is spread over all nodes.
+
+    Rounds go on until the ranks of all nodes together change by no more than ``tolerance``.
+    """
     # One row per distinct pair keeps parallel edges as a factor instead of as repeated rows.
     pairs = edges.groupBy(F.col("src").alias("node_id"), F.col("dst").alias("next")).agg(F.count("*").alias("times"))
     nodes = vertices.select(F.col("id").alias("node_id")).distinct()
@@ -202,7 +193,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: f
             nodes.join(out, "node_id", "left").withColumn("total", total)
             .withColumn("rank", F.lit(1.0) / F.col("total"))
         )
-        for _ in range(rounds):
+        change = None
+        while change is None or change > tolerance:
             received = (
                 placed.expand(rank.filter(F.col("links") > 0).select("node_id", "rank", "links"))
                 .groupBy(F.col("next").alias("node_id"))
@@ -210,11 +202,13 @@ def pagerank(edges: DataFrame, vertices: DataFrame, rounds: int = 10, damping: f
             )
             idle = F.coalesce(rank.filter(F.col("links").isNull()).agg(F.sum("rank")).scalar(), F.lit(0.0))
             rank = cut_lineage(
-                rank.drop("rank").join(received, "node_id", "left").withColumn("idle", idle).select(
-                    "node_id", "links", "total",
+                rank.withColumnRenamed("rank", "before").join(received, "node_id", "left").withColumn("idle", idle).select(
+                    "node_id", "links", "total", "before",
                     (F.lit(1.0 - damping) / F.col("total") + F.lit(damping) * received_rank).alias("rank"),
                 )
             )
+            change = rank.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before"))), F.lit(0.0))).first()[0]
+            rank = rank.drop("before")
     return rank.select("node_id", F.col("rank").alias("pagerank"))
 
 

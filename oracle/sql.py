@@ -149,20 +149,6 @@ def _fleet() -> dict[str, str]:
 
 
 def _network() -> dict[str, str]:
-    pagerank = [
-        "nodes as materialized (select id from trade_nodes)",
-        "n as (select count(*)::double as n from nodes)",
-        "outs as (select src, count(*)::double as links from trade_edges group by 1)",
-        "shares as materialized (select e.src, e.dst, count(*) / any_value(o.links) as share from trade_edges e join outs o using (src) group by 1, 2)",
-        "r0 as materialized (select id, 1.0::double / (select n from n) as r from nodes)",
-    ]
-    for i in range(1, 11):
-        pagerank.append(
-            f"r{i} as materialized (select nodes.id, 0.15::double / (select n from n) + 0.85::double * (coalesce(x.got, 0) + "
-            f"(select coalesce(sum(r), 0) from r{i-1} where id not in (select src from outs)) / (select n from n)) as r "
-            f"from nodes left join (select dst, sum(r * share) as got from shares join r{i-1} on id = src group by 1) x on x.dst = nodes.id)"
-        )
-
     def cheapest(cost: str) -> str:
         return with_ctes("""
             select sp.node_id, round(label.cost, 6) as cost, label.hops as hops, previous
@@ -223,7 +209,20 @@ def _network() -> dict[str, str]:
             select 'C' || c_custkey as node_id, 'C' || c_custkey as component from customer
             union all select 'O' || o_orderkey, 'C' || o_custkey from orders""",
         "graph_pagerank": with_ctes(
-            ", " + ",\n".join(pagerank) + " select id as node_id, round(r, 8) as pagerank from r10", "trade_edges", "trade_nodes"),
+            "select id as node_id, round(r, 8) as pagerank from pr where i = (select max(i) from pr)", "trade_edges", "trade_nodes", recursive="""
+            nodes as materialized (select id from trade_nodes),
+            n as materialized (select count(*)::double as n from nodes),
+            outs as materialized (select src, count(*)::double as links from trade_edges group by 1),
+            shares as materialized (select e.src, e.dst, count(*) / any_value(o.links) as share from trade_edges e join outs o using (src) group by 1, 2),
+            pr(i, id, r, change) as (
+              select 0, id, 1.0::double / (select n from n), 1.0::double from nodes
+              union all
+              select i, id, r, sum(abs(r - old)) over () from (
+                select p.i + 1 as i, p.id, p.r as old, 0.15::double / (select n from n) + 0.85::double * (coalesce(x.got, 0)
+                  + (sum(case when o.src is null then p.r else 0 end) over ()) / (select n from n)) as r
+                from pr p left join outs o on o.src = p.id
+                left join (select dst, sum(r * share) as got from shares join pr on pr.id = src group by 1) x on x.dst = p.id
+                where p.change > 1e-9))"""),
         "route_risk": with_ctes("""
             select * replace (round(time_shanghai_to_via_hours, 6) as time_shanghai_to_via_hours,
               round(estimated_total_hours, 6) as estimated_total_hours, round(risk_score, 6) as risk_score) from risk""", "risk"),
