@@ -152,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS, orders: tuple[int,
     weighted back to the classes' shares of all training rows.
     """
     known = _labelled(docs, labels)
-    train = docs.select(F.col("doc_id").alias("_id"), "text").join(known, F.col("_id") == F.col("_label_id"))
+    # labels grow with the documents, so they are never broadcast: one plan at every size
+    train = docs.select(F.col("doc_id").alias("_id"), "text").join(known.hint("merge"), F.col("_id") == F.col("_label_id"))
     counts, rows = class_counts(train.select("text", F.col("_toxic").alias("toxic")), bins, orders)
     if not rows.all():
         return None
