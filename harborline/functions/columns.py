@@ -48,7 +48,7 @@ def pseudo_stock(key: Column, size: int = 100) -> Column:
 
 
 def route_name(origin: Column, dest: Column) -> Column:
-    return F.concat_ws(" → ", origin, dest)
+    return F.concat_ws(" -> ", origin, dest)
 
 
 def shorten(text: Column, size: int = 120) -> Column:

@@ -57,6 +57,7 @@ def ship_context(latest: DataFrame, routes: DataFrame, ports: DataFrame, warehou
     )
     # Restating the bound keeps the hint after the projection above.
     alerts = per_key(ports.select(F.col("port_name").alias("dest_port")), alerts, "dest_port")
+    known = warehouses.select(F.col("warehouse_name").alias("_known")).distinct()
     delay = F.col("weather_delay_hours_estimate")
     if default_delay is not None:
         delay = F.coalesce(delay, F.lit(default_delay))
@@ -71,9 +72,9 @@ def ship_context(latest: DataFrame, routes: DataFrame, ports: DataFrame, warehou
             latest.join(small(routes.select("route_id", "sea_hours_estimate", "inland_hours_estimate")), "route_id", "left"),
             ports,
         )
-        .withColumn("_warehouses", warehouses.agg(F.collect_set("warehouse_name")).scalar())
-        .withColumn("warehouse", F.when(F.array_contains("_warehouses", F.col("warehouse")), F.col("warehouse")))
-        .drop("_warehouses")
+        .join(small(known), F.col("warehouse") == F.col("_known"), "left")
+        .withColumn("warehouse", F.col("_known"))
+        .drop("_known")
         .join(weather, ["route_id", "dest_port"], "left")
         .join(alerts, "dest_port", "left")
         .withColumn("total_route_distance_km", total)
@@ -356,11 +357,13 @@ def route_map(routes: DataFrame, ports: DataFrame, alerts: DataFrame) -> DataFra
 
 def corridor_pairs(ports: DataFrame, pairs: DataFrame, hub: str = "Valladolid", hub_lat: float = 41.6528,
                    hub_lon: float = -4.7246) -> DataFrame:
-    """Lines from every origin hub to every destination port and to the warehouse, with sailed positions.
+    """Lines from every origin hub to every destination port (``route``) and to the warehouse (``deviation``).
 
     Pairs come from the two short port lists; the counts come from the positions.
     """
     dests = ports.filter(F.col("port_type") == "port").select("port_name", "lat", "lon")
+    name = route_name(F.col("port_name"), F.col("_d.port_name"))
+    deviation = F.col("_d.port_name") == hub
     targets = F.concat(
         as_array(dests), F.array(F.struct(F.lit(hub).alias("port_name"), F.lit(hub_lat).alias("lat"), F.lit(hub_lon).alias("lon")))
     )
@@ -371,7 +374,8 @@ def corridor_pairs(ports: DataFrame, pairs: DataFrame, hub: str = "Valladolid",
             F.col("port_name").alias("origin_port"), F.col("_d.port_name").alias("dest_port"),
             F.col("lat").alias("origin_lat"), F.col("lon").alias("origin_lon"),
             F.col("_d.lat").alias("dest_lat"), F.col("_d.lon").alias("dest_lon"),
-            route_name(F.col("port_name"), F.col("_d.port_name")).alias("route_name"),
+            F.when(deviation, F.concat(F.lit("Desvío "), name)).otherwise(name).alias("route_name"),
+            F.when(deviation, "deviation").otherwise("route").alias("line_kind"),
         )
     )
     sailed = pairs.select("origin_port", "dest_port", "positions")

@@ -26,7 +26,6 @@ LINEAR_MAX_ITER = 10
 FOREST_TREES = 5
 CLUSTERS = 3
 CLUSTER_NAMES = ["Bajo Riesgo", "Riesgo Medio", "Alto Riesgo"]
-ROUTE_FEATURES = ["time_shanghai_to_via_hours", "time_via_to_valladolid_hours", "estimated_total_hours"]
 ETA_FEATURES = ["remaining_route_distance_km", "wind_speed_kmh", "port_alert", "weather_delay_hours_estimate"]
 RUPTURE_FEATURES = ["stock_on_hand", "eta_delay_hours", "wind_speed_kmh", "weather_severity", "speed_kn"]
 PORT_FEATURES = ["congestion_level", "wind_speed", "temperature", "humidity"]
@@ -135,20 +134,6 @@ def silhouette(clustered: DataFrame) -> float:
     return float(ClusteringEvaluator(featuresCol="scaled", predictionCol="cluster").evaluate(clustered))
 
 
-def route_risk_models(route_risk: DataFrame) -> tuple[DataFrame, DataFrame, list]:
-    """The three models on the route-risk table: regression metrics, forest predictions, k-means centres.
-
-    On this table the label is one constant, so use the per-ship models for real predictions.
-    """
-    data = features(route_risk, ROUTE_FEATURES, F.col("risk_score"))
-    train, test = data.randomSplit([0.8, 0.2], seed=SEED)
-    regression = LinearRegression(maxIter=LINEAR_MAX_ITER).fit(train)
-    banded = data.withColumn("risk_label", risk_label(F.col("label")))
-    forest = RandomForestClassifier(labelCol="risk_label", numTrees=FOREST_TREES, seed=SEED).fit(banded)
-    clusters = KMeans(k=CLUSTERS, seed=SEED).fit(data)
-    return regression_metrics(regression.transform(test)), forest.transform(banded), clusters.clusterCenters()
-
-
 def retrain(context: DataFrame, weather: DataFrame, routes: DataFrame, path: str) -> DataFrame:
     """Monthly job: fit both per-ship models, save them, and return their metrics."""
     rows = eta_features(context, weather, routes)

@@ -131,6 +131,14 @@ def landing_kind(topic: Column, source: Column) -> Column:
     return F.when(topic == "datos_crudos", "ships").when(topic == "alertas_globales", alert_route(source))
 
 
+def flat_line(text: Column, fields: Column) -> Column:
+    """A JSON object on one line with the fields of a struct at its end; any other text stays as it came."""
+    line = F.regexp_replace(F.regexp_replace(text, r"[\r\n]+", " "), r"\s+$", "")
+    whole = F.get_json_object(text, "$")
+    with_fields = F.concat(F.substring(line, 1, F.length(line) - 1), F.lit(","), F.substring(F.to_json(fields), 2, 1 << 20))
+    return F.when(whole.startswith("{") & (whole != "{}") & line.endswith("}"), with_fields).otherwise(line)
+
+
 def add_lineage(df: DataFrame, at: Column | None = None, host: str | None = None) -> DataFrame:
     """Ingestion columns; partition and offset come from the message when the source has them."""
     has = set(df.columns)

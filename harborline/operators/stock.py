@@ -105,7 +105,7 @@ def orders_coverage(orders: DataFrame, context: DataFrame, best_air: DataFrame,
             "order_id", "article_ref", "customer_city", "industrial_week",
             needed.alias("needed_date_client"), "arrival_valladolid", "margin_days",
             F.when(F.col("margin_days") >= COVER_MARGIN_DAYS, "CUBRE").otherwise("NO CUBRE").alias("cover_status"),
-            "recommended_mode", "air_total_cost_eur", "inbound_port",
+            "recommended_mode", "air_total_cost_eur", "inbound_port", "ordered_pieces",
         )
     )
 
@@ -125,18 +125,19 @@ def clamped_running_sum(df: DataFrame, start: Column, change: Column, keys: Sequ
     )
 
 
-def stock_horizon(articles: DataFrame, orders: DataFrame, coverage: DataFrame, weeks: Sequence[str] | None = None) -> DataFrame:
+def stock_horizon(articles: DataFrame, coverage: DataFrame, weeks: Sequence[str] | None = None) -> DataFrame:
     """Projected stock per article and week, never below zero.
 
-    Orders and arrivals are summed to one row per article and week before they meet the calendar, so
-    a window never holds more rows per article than there are weeks.
+    One pass over the covered orders sums demand and arrivals to one row per article and week before they
+    meet the calendar, so a window never holds more rows per article than there are weeks.
     """
     weeks = list(weeks or week_names())
     keys = ["article_ref", "industrial_week"]
     in_horizon = F.col("industrial_week").isin(*weeks)
-    demand = orders.filter(in_horizon).groupBy(*keys).agg(F.sum("ordered_pieces").alias("ordered"))
     arrives_now = industrial_week(F.col("arrival_valladolid")) == F.col("industrial_week")
-    arrivals = coverage.filter(in_horizon & arrives_now).groupBy(*keys).agg(F.count("*").alias("arrivals"))
+    moved = coverage.filter(in_horizon).groupBy(*keys).agg(
+        F.sum("ordered_pieces").alias("ordered"), F.count_if(arrives_now).alias("arrivals")
+    )
 
     weekly = F.col("daily_consumption_avg") * F.lit(7)
     calendar = F.explode(F.array(*[F.lit(w) for w in weeks]))
@@ -145,8 +146,7 @@ def stock_horizon(articles: DataFrame, orders: DataFrame, coverage: DataFrame, w
         calendar.alias("industrial_week"),
     )
     flows = (
-        spine.join(demand, keys, "left")
-        .join(arrivals, keys, "left")
+        spine.join(moved, keys, "left")
         .withColumn("inbound", F.coalesce("arrivals", F.lit(0)) * F.col("pieces_per_pack"))
         .withColumn("outbound", F.coalesce("ordered", "weekly_consumption"))
     )
@@ -212,11 +212,14 @@ def weekly_demand(orders: DataFrame, customer_city: str | None = None, first_wee
 
     The calendar holds every week of all customers, so a filter on one customer keeps empty weeks.
     """
-    spine = distinct_values(orders, "industrial_week", first_weeks)
-    demand = orders_for(orders, customer_city).groupBy("industrial_week").agg(F.sum("ordered_pieces").alias("ordered_pieces"))
-    return spine.join(demand, "industrial_week", "left").withColumn(
-        "ordered_pieces", F.coalesce("ordered_pieces", F.lit(0))
+    pieces = F.col("ordered_pieces")
+    if customer_city is not None:
+        pieces = F.when(F.col("customer_city") == customer_city, pieces)
+    demand = (
+        orders.filter(F.col("industrial_week").isNotNull()).groupBy("industrial_week")
+        .agg(F.coalesce(F.sum(pieces), F.lit(0)).alias("ordered_pieces")).orderBy("industrial_week")
     )
+    return demand.limit(first_weeks) if first_weeks else demand
 
 
 def demand_projection(articles: DataFrame, weeks: int = 10) -> DataFrame:

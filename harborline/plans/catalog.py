@@ -12,8 +12,8 @@ from harborline.functions.bands import node_state
 from harborline.functions.columns import pseudo_stock
 from harborline.operators import alerts, contingency, fleet, graph, kpis, models, network, quality, staging, stock
 from harborline.operators.weather import OPERATIONAL_COLUMNS
-from harborline.plans import adapters
-from harborline.plans.domain import Domain
+from harborline.plans import adapters, microbatch
+from harborline.plans.domain import FLEET_AS_OF, Domain
 from harborline.session import cut_lineage, shared_dir
 from harborline.sources.readers import message_stream, recent_rows
 from harborline.streaming import queries as streams
@@ -448,7 +448,7 @@ def warehouse_capacity(d: Domain) -> DataFrame:
 
 @query
 def orders_coverage(d: Domain) -> DataFrame:
-    return d.coverage
+    return d.coverage.drop("ordered_pieces")
 
 
 @query
@@ -603,10 +603,24 @@ def stream_raw_landing(d: Domain) -> DataFrame:
     streams.landing_query(
         rows, f"{out}/raw", streams.checkpoint_path(out, "landing"), streams.MICRO_BATCH, by=("kind", "dt")
     ).awaitTermination()
-    landed = d.spark.read.schema("value string, kind string, dt string").json(f"{out}/raw")
+    landed = d.spark.read.schema("value string, kind string, dt string").text(f"{out}/raw")
     return landed.groupBy("kind", "dt").agg(F.count("*").alias("messages"))
 
 
+@query
+def landed_ships_staged(d: Domain) -> DataFrame:
+    """Positions by way of landed files: a stream lands the raw topics, a scheduled run stages the files."""
+    out = _run_folder(d, "landed_ships_staged")
+    rows = streams.landing_rows(adapters.raw_lines(_event_stream(d), deliveries=2))
+    streams.landing_query(
+        rows, f"{out}/raw", streams.checkpoint_path(out, "landing"), streams.MICRO_BATCH, by=("kind", "dt")
+    ).awaitTermination()
+    run = microbatch.Run(d.spark, f"{out}/raw", f"{out}/tables", FLEET_AS_OF, landed=True)
+    microbatch.raw_to_staging(run)
+    staged = run.read("stg_ships").drop("stock_on_hand", *staging.schemas.LINEAGE.names)
+    return staged.withColumns(_ntz("ts_utc"))
+
+
 # ---- Models --------------------------------------------------------------------------------------
 
 

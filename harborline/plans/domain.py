@@ -10,7 +10,7 @@ from harborline.functions.calendar import moment
 from harborline.operators import alerts as alert_ops
 from harborline.operators import contingency, fleet, network, stock, weather as weather_ops
 from harborline.plans import adapters
-from harborline.session import cut_lineage
+from harborline.session import cut_lineage, written
 from harborline.sources.master import master
 
 FLEET_AS_OF = "2024-02-01 00:00:00"
@@ -154,15 +154,20 @@ class Domain:
     def stock_context(self) -> DataFrame:
         return stock.stock_context(self.articles, stock.order_totals(self.orders))
 
+    @cached_property
+    def written_orders(self) -> DataFrame:
+        """The joined orders as stored rows: totals and coverage read them, the order tables are read once."""
+        return written(self.orders)
+
     @cached_property
     def written_context(self) -> DataFrame:
         """The stock context as stored rows, for results that read it several times."""
-        return cut_lineage(self.stock_context)
+        return written(stock.stock_context(self.articles, stock.order_totals(self.written_orders)))
 
     @cached_property
     def coverage(self) -> DataFrame:
-        return stock.orders_coverage(self.orders, self.written_context, cut_lineage(self.best_air_by_port), self.orders_as_of)
+        return stock.orders_coverage(self.written_orders, self.written_context, cut_lineage(self.best_air_by_port), self.orders_as_of)
 
     @cached_property
     def horizon(self) -> DataFrame:
-        return stock.stock_horizon(self.articles, self.orders, self.coverage)
+        return stock.stock_horizon(self.articles, self.coverage)

@@ -17,7 +17,7 @@ from harborline.functions.calendar import moment
 from harborline.operators import alerts, contingency, fleet, graph, network, staging, weather
 from harborline.sources import writers
 from harborline.sources.master import TABLE_NAMES, master
-from harborline.sources.readers import json_lines
+from harborline.sources.readers import json_lines, landed_lines
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class Run:
     version: int = 0
     database: str | None = None
     raw_glob: str = "*/*/*/*/*.jsonl"
+    landed: bool = False  # whether a landing stream wrote ``raw``, in folders by kind
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -45,7 +46,10 @@ class Run:
             df.write.mode("overwrite").parquet(self.path(name))
 
     def raw_lines(self, kind: str, schema) -> DataFrame:
-        return json_lines(self.spark, f"{self.raw}/{kind}/{self.raw_glob}", schemas.with_lineage(schema))
+        schema = schemas.with_lineage(schema)
+        if self.landed:
+            return landed_lines(self.spark, self.raw, kind, schema)
+        return json_lines(self.spark, f"{self.raw}/{kind}/{self.raw_glob}", schema)
 
 
 def dimensions(run: Run) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write the rows as Parquet to the shared folder and read them from there, for facts used more than once.
+
+    Unlike a checkpoint the copy is columnar: each reader gets only the columns it uses.
+    """
+    folder = f"{shared_dir(df.sparkSession).rstrip('/')}/harborline/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     """Whether the optimizer's own size for the frame is within the broadcast limit.
 

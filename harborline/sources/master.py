@@ -109,12 +109,33 @@ AIR_CORRIDORS = [
     ("AIRREC-HND-VLC", "Tokyo Haneda", "Valencia", 17.5, 17850.0, 0.96, 360.0),
 ]
 
-# Interior points of the sea corridors; the end points are the ports themselves.
-_VIA_SHANGHAI = [(22.0, 118.0), (13.0, 103.0), (6.0, 80.0), (12.0, 56.0), (18.0, 44.0), (12.0, 32.0)]
-_VIA_YOKOHAMA = [
-    (30.0, 132.0), (18.0, 118.0), (8.0, 92.0), (6.0, 78.0), (12.0, 56.0), (18.0, 44.0), (12.0, 32.0),
-]
-_LAST_POINT = {"Algeciras": (20.0, 4.0), "Valencia": (20.0, 2.0), "Barcelona": (20.0, 5.0)}
+# Points of the sea corridors in sailing order, port to port.
+SEA_CORRIDORS = {
+    "route-shanghai-algeciras": [
+        (31.2304, 121.4737), (22.0, 118.0), (13.0, 103.0), (6.0, 80.0), (12.0, 56.0),
+        (18.0, 44.0), (12.0, 32.0), (20.0, 4.0), (36.127, -5.453),
+    ],
+    "route-shanghai-valencia": [
+        (31.2304, 121.4737), (22.0, 118.0), (13.0, 103.0), (6.0, 80.0), (12.0, 56.0),
+        (18.0, 44.0), (12.0, 32.0), (20.0, 2.0), (39.458, -0.317),
+    ],
+    "route-shanghai-barcelona": [
+        (31.2304, 121.4737), (22.0, 118.0), (13.0, 103.0), (6.0, 80.0), (12.0, 56.0),
+        (18.0, 44.0), (12.0, 32.0), (20.0, 5.0), (41.352, 2.173),
+    ],
+    "route-yokohama-algeciras": [
+        (35.4437, 139.638), (30.0, 132.0), (18.0, 118.0), (8.0, 92.0), (6.0, 78.0),
+        (12.0, 56.0), (18.0, 44.0), (12.0, 32.0), (20.0, 4.0), (36.127, -5.453),
+    ],
+    "route-yokohama-valencia": [
+        (35.4437, 139.638), (30.0, 132.0), (18.0, 118.0), (8.0, 92.0), (6.0, 78.0),
+        (12.0, 56.0), (18.0, 44.0), (12.0, 32.0), (20.0, 2.0), (39.458, -0.317),
+    ],
+    "route-yokohama-barcelona": [
+        (35.4437, 139.638), (30.0, 132.0), (18.0, 118.0), (8.0, 92.0), (6.0, 78.0),
+        (12.0, 56.0), (18.0, 44.0), (12.0, 32.0), (20.0, 5.0), (41.352, 2.173),
+    ],
+}
 
 SHIP_NAMES = {
     "ship-001": "MSC Gulsun",
@@ -167,14 +188,8 @@ CUSTOMER_LINKS = [("Valladolid", "Douai", 2.5), ("Valladolid", "Cleon", 2.8)]
 
 
 def waypoint_rows() -> list[tuple[str, int, float, float]]:
-    """Ordered points of every route: origin, corridor, last open-sea point, destination."""
-    at = {name: (lat, lon) for _, name, _, _, lat, lon, _ in PORTS}
-    rows = []
-    for route_id, origin, dest, *_ in ROUTES:
-        via = _VIA_SHANGHAI if origin == "Shanghai" else _VIA_YOKOHAMA
-        for seq, (lat, lon) in enumerate([at[origin], *via, _LAST_POINT[dest], at[dest]]):
-            rows.append((route_id, seq, lat, lon))
-    return rows
+    """Numbered points of every route."""
+    return [(route_id, seq, lat, lon) for route_id, points in SEA_CORRIDORS.items() for seq, (lat, lon) in enumerate(points)]
 
 
 _TABLES: dict[str, tuple[list[tuple[str, pa.DataType]], object]] = {

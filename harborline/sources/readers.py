@@ -22,6 +22,12 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_file:
     return lines.select(F.inline_outer(F.array(F.from_json("value", schema))), *partitions, *extra)
 
 
+def landed_lines(spark: SparkSession, root: str, kind: str, schema: T.StructType) -> DataFrame:
+    """Objects of one kind from the folders a landing stream writes; other kinds' folders are not read."""
+    lines = spark.read.text(root).filter(F.col("kind") == kind)
+    return lines.select(F.inline_outer(F.array(F.from_json("value", schema))))
+
+
 def messages(
     spark: SparkSession,
     topic: str,

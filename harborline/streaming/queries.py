@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from harborline import schemas
 from harborline.functions.calendar import event_time
 from harborline.operators import staging, weather
 from harborline.sources.writers import conform, drop_old_versions, read_latest_version, upsert_latest, version_for
@@ -104,7 +105,7 @@ def read_state(spark: SparkSession, base: str) -> DataFrame:
 
 
 def landing_rows(messages: DataFrame, topic: str = "topic", value: str = "value", host: str | None = None) -> DataFrame:
-    """Raw messages with landing kind, minute folder and lineage; the message text stays as it came.
+    """Raw messages as flat lines, lineage fields at the end of the object, with landing kind and minute folder.
 
     Folders follow the event's own time, so a replay lands in the same place. Messages whose time
     cannot be read land under ``dt=unknown``.
@@ -116,8 +117,7 @@ def landing_rows(messages: DataFrame, topic: str = "topic", value: str = "value"
         .withColumn("kind", staging.landing_kind(F.col(topic), F.get_json_object(text, "$.source")))
         .filter(F.col("kind").isNotNull())
         .select(
-            text.alias("value"), "_ingestion_ts", "_ingestion_host", "_ingestion_partition", "_ingestion_offset",
-            "kind",
+            staging.flat_line(text, F.struct(*schemas.LINEAGE.names)).alias("value"), "kind",
             F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit("unknown")).alias("dt"),
             F.coalesce(F.date_format(ts, "HHmm"), F.lit("unknown")).alias("hhmm"),
         )
@@ -126,13 +126,13 @@ def landing_rows(messages: DataFrame, topic: str = "topic", value: str = "value"
 
 def landing_query(messages: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = LANDING_TRIGGER,
                   by: Sequence[str] = ("kind", "dt", "hhmm")) -> StreamingQuery:
-    """Exactly-once JSON landing, partitioned by kind and minute.
+    """Exactly-once landing of JSON lines, partitioned by kind and minute, as ``readers.landed_lines`` reads them.
 
     ``by=("kind", "dt")`` gives larger files when a minute holds few messages.
     """
     rows = messages.drop(*[c for c in ("kind", "dt", "hhmm") if c not in by])
     return (
-        rows.writeStream.format("json").outputMode("append").partitionBy(*by).option("checkpointLocation", checkpoint)
+        rows.writeStream.format("text").outputMode("append").partitionBy(*by).option("checkpointLocation", checkpoint)
         .option("path", path).trigger(**dict(trigger)).start()
     )
 

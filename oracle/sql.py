@@ -322,9 +322,9 @@ def _contingency() -> dict[str, str]:
             left join worst_alerts a on a.via_port = r.dest_port""", "routes", "ports", "worst_alerts"),
         "corridor_pairs": with_ctes("""
             select o.port_name as origin_port, d.name as dest_port, o.lat as origin_lat, o.lon as origin_lon, d.lat as dest_lat, d.lon as dest_lon,
-              o.port_name || ' → ' || d.name as route_name, coalesce(n.n, 0) as positions
-            from ports o cross join (select port_name as name, lat, lon from ports where port_type = 'port'
-              union all select 'Valladolid', 41.6528::double, -4.7246::double) d
+              d.prefix || o.port_name || ' -> ' || d.name as route_name, d.line_kind, coalesce(n.n, 0) as positions
+            from ports o cross join (select port_name as name, lat, lon, '' as prefix, 'route' as line_kind from ports where port_type = 'port'
+              union all select 'Valladolid', 41.6528::double, -4.7246::double, 'Desvío ', 'deviation') d
             left join (select origin_port, dest_port, count(*) as n from ships group by 1, 2) n on n.origin_port = o.port_name and n.dest_port = d.name
             where o.port_type = 'origin_hub'""", "ports", "ships"),
     }
@@ -435,6 +435,7 @@ def _indicators() -> dict[str, str]:
         "stream_latest_state": with_ctes("""
             select ship_id, ts as event_ts, route_id, origin_port, dest_port, warehouse, round(lat, 6) as lat, round(lon, 6) as lon, speed_kn, heading,
               stock_on_hand, reorder_point from latest""", "latest"),
+        "landed_ships_staged": _staging()["stg_ships_dedup"],
         "stream_raw_landing": with_ctes("""
             select kind, dt, count(*) as messages
             from (select case when feed <> 'alert' then 'ships' when not cut and lower(trim(a_source)) = 'clima' then 'clima' else 'noticias' end as kind,

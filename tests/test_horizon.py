@@ -45,7 +45,7 @@ def test_horizon_against_a_plain_loop(spark):
     )
     as_of = moment("2026-04-01 00:00:00")
     coverage = stock.orders_coverage(orders, stock.stock_context(articles, stock.order_totals(orders)), best, as_of)
-    horizon = stock.stock_horizon(articles, orders, coverage)
+    horizon = stock.stock_horizon(articles, coverage)
     got = {(r.article_ref, r.industrial_week): r for r in horizon.collect()}
     assert len(got) == 100
 

@@ -57,14 +57,6 @@ def test_port_clusters_are_named_by_risk(spark):
     assert models.silhouette(clustered) > 0.5
 
 
-def test_route_risk_models_on_varied_risk(spark):
-    rows = [(float(300 + i), 8.0, float(308 + i), (i % 5) * 1.0) for i in range(60)]
-    df = spark.createDataFrame(rows, "time_shanghai_to_via_hours double, time_via_to_valladolid_hours double, estimated_total_hours double, risk_score double")
-    metrics, forest, centres = models.route_risk_models(df)
-    assert set(values(metrics)) == {"rmse", "r2", "mae"} and len(centres) == 3
-    assert {r.risk_label for r in forest.select("risk_label").distinct().collect()} == {0.0, 1.0, 2.0, 3.0}
-
-
 def test_incomplete_rows_are_left_out(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 2.0)], "a double, b double")
     assert models.features(df, ["a"], F.col("b")).count() == 1

@@ -126,7 +126,7 @@ def test_landing_partitions_and_exactly_once(spark, tmp_path):
         topic = F.when(F.get_json_object("value", "$.event_type") == "global_alert", "alertas_globales").otherwise("datos_crudos")
         rows = queries.landing_rows(lines.withColumn("topic", topic), host="h")
         queries.landing_query(rows, out, queries.checkpoint_path(str(tmp_path), "landing"), queries.MICRO_BATCH).awaitTermination()
-        return spark.read.schema("value string, _ingestion_host string, kind string, dt string, hhmm string").json(out)
+        return spark.read.schema("value string, kind string, dt string, hhmm string").text(out)
 
     rows = sorted((r.kind, r.dt, r.hhmm) for r in go().collect())
     assert rows == [("clima", "2026-03-26", "1005"), ("noticias", "2026-03-26", "1005"), ("ships", "2026-03-26", "1005"), ("ships", "unknown", "unknown")]
@@ -135,6 +135,23 @@ def test_landing_partitions_and_exactly_once(spark, tmp_path):
     assert landed.first().ship_id == "ship-001"
 
 
+def test_landed_files_feed_the_scheduled_run(spark, tmp_path):
+    from harborline.plans import microbatch
+
+    inbox, out = tmp_path / "in", str(tmp_path / "raw")
+    write_batch(inbox, "a", [at(5), at(7), at(7, ship="ship-002"), {"no": "time"}, {}])
+    (inbox / "b.json").write_text('{"event_type": "ship_position", "ts": "2026-03-26T10:0\n not json }\n')
+    rows = queries.landing_rows(message_stream(spark, str(inbox), "text").withColumn("topic", F.lit("datos_crudos")), host="h")
+    queries.landing_query(rows, out, queries.checkpoint_path(str(tmp_path), "landing"), queries.MICRO_BATCH).awaitTermination()
+    assert spark.read.text(out).count() == 7
+    run = microbatch.Run(spark, out, str(tmp_path / "base"), "2026-03-27 00:00:00", landed=True)
+    microbatch.raw_to_staging(run)
+    staged = run.read("stg_ships").collect()
+    assert sorted(r.ship_id for r in staged) == ["ship-001", "ship-001", "ship-002"]
+    assert {r._ingestion_host for r in staged} == {"h"}
+    assert run.read("stg_alerts_clima").count() == 0
+
+
 def test_stream_joined_with_static_context(spark, tmp_path):
     from harborline.operators import weather
     from harborline.sources.master import master
