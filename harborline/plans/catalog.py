@@ -143,6 +143,7 @@ def ships_latest_voyage(d: Domain) -> DataFrame:
 
 @query
 def ship_eta_table(d: Domain) -> DataFrame:
+    d.keep("latest", "sailed_pairs", "latest_operational")
     delays = fleet.delay_by_port(d.latest_operational, d.ports)
     return _rounded(
         fleet.eta_table(d.voyages, delays, d.best_air, d.fleet_as_of, incidents=["Huelga", "Tormenta"]), "lat", "lon"
@@ -304,6 +305,7 @@ def alerts_risk_stock_summary(d: Domain) -> DataFrame:
 
 @query
 def risk_summary(d: Domain) -> DataFrame:
+    d.keep("sailed_pairs")
     return alerts.risk_summary(d.fact_alerts, d.operational)
 
 
@@ -506,11 +508,13 @@ def embarkation_totals(d: Domain) -> DataFrame:
 
 @query
 def control_tower_kpis(d: Domain) -> DataFrame:
+    d.keep("latest", "sailed_pairs")
     return kpis.control_tower(d.stock_context, d.voyages, d.orders, d.best_air)
 
 
 @query
 def executive_kpis(d: Domain) -> DataFrame:
+    d.keep("sailed_pairs")
     return kpis.executive(d.voyages, d.fact_alerts, d.articles)
 
 

@@ -34,6 +34,12 @@ class Domain:
     def dim(self, name: str) -> DataFrame:
         return master(self.spark, name)
 
+    def keep(self, *names: str) -> Domain:
+        """Write the named tables once, for a query that reaches them in several ways."""
+        for name in names:
+            setattr(self, name, written(getattr(self, name)))
+        return self
+
     # Source views.
 
     @cached_property
@@ -154,19 +160,14 @@ class Domain:
     def stock_context(self) -> DataFrame:
         return stock.stock_context(self.articles, stock.order_totals(self.orders))
 
-    @cached_property
-    def written_orders(self) -> DataFrame:
-        """The joined orders as stored rows: totals and coverage read them, the order tables are read once."""
-        return written(self.orders)
-
     @cached_property
     def written_context(self) -> DataFrame:
         """The stock context as stored rows, for results that read it several times."""
-        return written(stock.stock_context(self.articles, stock.order_totals(self.written_orders)))
+        return written(self.stock_context)
 
     @cached_property
     def coverage(self) -> DataFrame:
-        return stock.orders_coverage(self.written_orders, self.written_context, cut_lineage(self.best_air_by_port), self.orders_as_of)
+        return stock.orders_coverage(self.orders, self.written_context, cut_lineage(self.best_air_by_port), self.orders_as_of)
 
     @cached_property
     def horizon(self) -> DataFrame:

@@ -36,3 +36,9 @@ def test_horizon_windows_share_one_sort(spark, sf_dir):
     text = plan(spark, "stock_horizon", sf_dir)
     assert text.count("Window [") >= 2
     assert text.count("Exchange rangepartitioning") == 0
+
+
+def test_order_lines_are_read_once_more_at_most_after_the_totals(spark, sf_dir):
+    """The totals are written rows by then; coverage carries what the horizon needs."""
+    assert plan(spark, "stock_horizon", sf_dir).split("Initial Plan")[-1].count("lineitem.parquet") == 1
+    assert plan(spark, "weekly_demand", sf_dir).split("Initial Plan")[-1].count("lineitem.parquet") == 1
