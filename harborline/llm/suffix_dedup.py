@@ -233,7 +233,8 @@ def covered(n: int, marks: list[dict], length: int) -> np.ndarray:
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # row ids hold for one evaluation only, and three uses need the same
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"), "repeats-rows")
     found = scan(rows.select("row", "text"), length, seed)
     repeated = stored(found.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("key"), "repeats-keys")
     live = stored(found.join(repeated, "key", "left_semi"), "repeats-anchors")

@@ -65,3 +65,19 @@ def test_line_with_many_surroundings(spark):
 
 def test_levels_divide_each_other():
     assert suffix_dedup.widths(169) == [64, 16, 4, 1] and suffix_dedup.widths(2) == [1] and suffix_dedup.widths(1) == [1]
+
+
+def test_rows_dealt_anew_at_every_evaluation(spark):
+    """As after a lost executor or with other file splits: each evaluation sees the rows in another order."""
+    rows = passages(7)
+
+    def shuffled(batches):
+        import pyarrow as pa
+
+        whole = pa.Table.from_batches(list(batches))
+        order = random.SystemRandom().sample(range(whole.num_rows), whole.num_rows)
+        yield from whole.take(pa.array(order, pa.int64())).to_batches()
+
+    docs = frame(spark, rows).coalesce(1)
+    docs = docs.mapInArrow(shuffled, docs.schema)
+    assert sorted_rows(suffix_dedup.drop_repeats(docs, 60, 12).collect()) == sorted_rows(plain(rows, 60))
