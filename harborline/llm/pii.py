@@ -2,9 +2,11 @@
 
 Fixed patterns find e-mail and network addresses, card and telephone numbers. These seeds induce lexical patterns: the two words
 before a seed, together with its kind. Loose candidates are spans that look like a kind but that the fixed patterns turn down.
-Patterns and instances form a graph that Spark scores in rounds: a pattern is as sure as the share of all its occurrences in the
-corpus that are trusted instances of its kind, an instance as its best pattern; instances of sure patterns are trusted in the next
-round, until no more are. Occurrences are counted over all texts, so a common phrase before a few seeds stays unsure.
+Patterns and instances form a graph that Spark scores in rounds. In every round, the trusted instances of a kind induce patterns. A
+pattern is as sure as the share of trusted instances of its kind among these and the evidence against it: its occurrences before
+anything that cannot be of its kind, or that is trusted as another kind only. Candidates not known yet count neither way. Instances
+of sure patterns are trusted from the next round on, until no more are. Occurrences are counted over all texts, so a common phrase
+before a few seeds stays unsure.
 
 Defined results: a null text counts as empty; a document without spans has counts of 0 and empty strings; null ids and repeated
 rows are kept; ties in a start go by kind as listed; added spans never overlap base spans or each other; an empty table gives an
@@ -14,8 +16,10 @@ empty result; further columns are left out, or carried untouched by ``redact``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +52,7 @@ _BEFORE = re.compile(r"[^\x20\x09-\x0D]+")
 _BLOOM_BITS = 24
 _CONTEXT = 160
 _SPAN = "array<struct<kind:int,start:int,end:int>>"
-_FOUND = "array<struct<kind:int,start:int,end:int,context:bigint,instance:bigint>>"
+_FOUND = "array<struct<kind:int,start:int,end:int,context:bigint,piece:bigint,instance:bigint>>"
 
 
 def luhn(digits: str) -> bool:
@@ -104,21 +108,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates apart from all base spans and each other; of those that overlap the first, then the longest, then by kind."""
+    """Candidates of every kind apart from all base spans, in order; those of different kinds may overlap."""
     met = []
     if _AT.search(text):
-        met += [(m.start(), -m.end(), 0) for m in _LOOSE["email"].finditer(text)]
+        met += [(m.start(), 0, m.end()) for m in _LOOSE["email"].finditer(text)]
     if _DIGIT.search(text):
-        met += [(m.start(), -m.end(), kind) for kind in (1, 2, 3) for m in _LOOSE[KINDS[kind]].finditer(text)]
-    out, last, at, covered = [], 0, 0, 0
-    for start, minus_end, kind in sorted(met):
-        end = -minus_end
-        while at < len(base) and base[at][0] < end:
-            covered = max(covered, base[at][2])
-            at += 1
-        if start >= max(last, covered):
-            out.append((start, kind, end))
-            last = end
+        met += [(m.start(), kind, m.end()) for kind in (1, 2, 3) for m in _LOOSE[KINDS[kind]].finditer(text)]
+    starts = [start for start, _, _ in base]
+    reach = list(accumulate((end for _, _, end in base), max))
+    apart = lambda start, end: (n := bisect_left(starts, end)) == 0 or reach[n - 1] <= start
+    return sorted(m for m in met if apart(m[0], m[2]))
+
+
+def chosen(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
+    """Of ``(start, kind, end, confidence)`` that overlap the first, then the longest, the surest, then by kind."""
+    out, last = [], 0
+    for start, minus_end, _, kind in sorted((s, -e, -c, k) for s, k, e, c in spans):
+        if start >= last:
+            out.append((start, kind, -minus_end))
+            last = -minus_end
     return out
 
 
@@ -132,11 +140,28 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).astype(np.int64)
 
 
-def context_of(text: str, start: int) -> int:
-    """Hash of the two words before a span, of what of a word stands before it as well; nothing counts as an empty word."""
-    words = _BEFORE.findall(text[max(0, start - _CONTEXT): start])[-2:]
-    words = [""] * (2 - len(words)) + words
-    return int(_pair(*[np.array([word_hash(w)], dtype=np.uint64) for w in words])[0])
+def contexts_of(text: str, starts: list[int]) -> list[tuple[int, int | None]]:
+    """For every start the hash of the two words before it, and the hash of what of a word stands directly before it, if any.
+
+    That piece is the second of the two words; nothing counts as an empty word, and of long words the last characters count.
+    """
+    if not starts:
+        return []
+    words = [m.span() for m in _BEFORE.finditer(text)]
+    begins = [begin for begin, _ in words]
+    name = lambda at, end: word_hash(text[max(words[at][0], end - _CONTEXT): end]) if at >= 0 else word_hash("")
+    firsts, seconds, pieces = [], [], []
+    for start in starts:
+        at = bisect_left(begins, start) - 1
+        end = min(start, words[at][1]) if at >= 0 else 0
+        seconds.append(name(at, end))
+        firsts.append(name(at - 1, words[at - 1][1]) if at > 0 else word_hash(""))
+        pieces.append(_signed(seconds[-1]) if at >= 0 and start < words[at][1] else None)
+    return list(zip(_pair(np.array(firsts, dtype=np.uint64), np.array(seconds, dtype=np.uint64)).tolist(), pieces))
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
 def _instance(text: str) -> int:
@@ -147,14 +172,15 @@ def scan(docs: DataFrame) -> DataFrame:
     """``row, doc_id, text_hash, base, loose``: spans with contexts, one row a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("kind", "start", "end")] + [(n, pa.int64()) for n in ("context", "instance")]))
+        as_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("kind", "start", "end")] + [(n, pa.int64()) for n in ("context", "piece", "instance")]))
         for batch in small_batches(batches):
             both: tuple[list, list] = ([], [])
             for text in texts(batch):
                 base = base_spans(text)
                 for out, spans in zip(both, (base, loose_spans(text, base))):
                     out.append([
-                        {"kind": k, "start": s, "end": e, "context": context_of(text, s), "instance": _instance(text[s:e])} for s, k, e in spans
+                        {"kind": k, "start": s, "end": e, "context": c, "piece": p, "instance": _instance(text[s:e])}
+                        for (s, k, e), (c, p) in zip(spans, contexts_of(text, [s for s, _, _ in spans]))
                     ])
             yield pa.record_batch({
                 "row": batch.column("row"), "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "base": pa.array(both[0], as_type), "loose": pa.array(both[1], as_type),
@@ -164,36 +190,45 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"row long, doc_id long, text_hash long, base {_FOUND}, loose {_FOUND}")
 
 
-def context_counts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``context, total``: how often each of the contexts occurs in all texts, before any word.
-
-    A bitmap of fixed size lets tasks pass over most other word pairs; the join then decides.
-    """
-    bits = contexts.select(F.pmod("context", F.lit(1 << _BLOOM_BITS)).cast("int").alias("bit")).distinct()
+def _bitmap(values: DataFrame, column: str) -> np.ndarray:
+    bits = values.select(F.pmod(column, F.lit(1 << _BLOOM_BITS)).cast("int").alias("bit")).distinct()
     bitmap = np.zeros(1 << _BLOOM_BITS, dtype=bool)
     for r in bits.groupBy(F.shiftright("bit", 12).alias("block")).agg(F.collect_set("bit").alias("bits")).toLocalIterator():
         bitmap[r["bits"]] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    return np.packbits(bitmap)
+
+
+def context_counts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``context, total``: how often each of ``context, piece`` occurs in all texts, before any word or, a piece, within one.
+
+    Bitmaps of fixed size let tasks pass over most other word pairs and pieces; the join then decides.
+    """
+    pieces = contexts.filter("piece is not null")
+    shared = docs.sparkSession.sparkContext.broadcast((_bitmap(contexts, "context"), _bitmap(pieces, "piece")))
+    mask = (1 << _BLOOM_BITS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
-        known: dict[str, int] = {}
+        wanted, glued = (np.unpackbits(b).astype(bool) for b in shared.value)
+        known: dict[str, tuple[int, list[int]]] = {}
         empty = word_hash("")
         for batch in small_batches(batches):
             counts: Counter = Counter()
             if len(known) > 200_000:
                 known.clear()
             for text in texts(batch):
-                words = _BEFORE.findall(text)
-                hashes = [empty, empty]
-                for w in words:
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = word_hash(w)
-                    hashes.append(h)
+                hashes, firsts, seconds = [empty, empty], [], []
+                for w in _BEFORE.findall(text):
+                    met = known.get(w)
+                    if met is None:
+                        starts = (word_hash(w[max(0, end - _CONTEXT): end]) for end in range(1, len(w)))
+                        met = known[w] = word_hash(w[-_CONTEXT:]), [h for h in starts if glued[h & mask]]
+                    if met[1]:
+                        firsts += hashes[-1:] * len(met[1])
+                        seconds += met[1]
+                    hashes.append(met[0])
                 h = np.array(hashes, dtype=np.uint64)
-                pairs = _pair(h[:-1], h[1:])
-                counts.update(pairs[wanted[pairs & ((1 << _BLOOM_BITS) - 1)]].tolist())
+                pairs = np.concatenate([_pair(h[:-2], h[1:-1]), _pair(np.array(firsts, dtype=np.uint64), np.array(seconds, dtype=np.uint64))])
+                counts.update(pairs[wanted[pairs & mask]].tolist())
             yield pa.record_batch({"context": pa.array(list(counts), pa.int64()), "n": pa.array(list(counts.values()), pa.int64())})
 
     met = docs.select("text").mapInArrow(run, "context long, n long").groupBy("context").agg(F.sum("n").alias("total"))
@@ -202,24 +237,30 @@ def context_counts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
 
 def sure_patterns(scanned: DataFrame, docs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT) -> DataFrame:
     """``kind, context, confidence``: patterns that are sure after the last round."""
-    occurrences = lambda c: scanned.select(F.explode(c).alias("s")).select("s.kind", "s.context", "s.instance")
-    tally = lambda df: df.groupBy("kind", "context", "instance").agg(F.count("*").alias("n"))
-    seeds, loose = stored(tally(occurrences("base")), "pii-seeds"), stored(tally(occurrences("loose")), "pii-loose")
-    induced = seeds.groupBy("kind", "context").agg(F.count("*").alias("support")).filter(F.col("support") >= min_support)
-    induced = stored(induced.select("kind", "context"), "pii-induced")
-    totals = stored(context_counts(docs, induced), "pii-totals")
-    graph = stored(
-        seeds.withColumn("seed", F.lit(True)).unionByName(loose.withColumn("seed", F.lit(False))).join(induced, ["kind", "context"]), "pii-graph"
+    spans = lambda c: scanned.select(F.explode(c).alias("s"), F.lit(c == "base").alias("seed")).select("s.*", "seed")
+    both = spans("base").unionByName(spans("loose"))
+    met = stored(
+        both.groupBy("kind", "context", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.max("piece").alias("piece")), "pii-met"
     )
-    trusted, before = graph.filter("seed").select("kind", "instance").distinct(), -1
+    # no pattern can ever have more trusted instances than candidates, so these are all that may become sure in any round
+    possible = met.groupBy("kind", "context").agg(F.count("*").alias("kinds"), F.sum("n").alias("candidates"), F.max("piece").alias("piece"))
+    possible = stored(possible.filter(F.col("kinds") >= min_support), "pii-possible")
+    totals = stored(context_counts(docs, possible.groupBy("context").agg(F.max("piece").alias("piece"))), "pii-totals")
+    against = possible.join(totals, "context").select("kind", "context", (F.col("total") - F.col("candidates")).alias("others"))
+    graph = stored(met.select("kind", "context", "instance", "n").join(against, ["kind", "context"]), "pii-graph")
+    trusted = stored(met.filter("seed").select("kind", "instance").distinct(), "pii-trusted")
+    before = trusted.count()
     while True:
-        # a candidate elsewhere in the corpus counts with its pattern only once it is trusted itself
-        scored = graph.join(trusted, ["kind", "instance"]).groupBy("kind", "context").agg(
-            F.sum("n").alias("hits"), F.count("*").alias("instances")
-        ).join(totals, "context").withColumn("confidence", F.col("hits") / F.greatest("total", "hits"))
+        kinds = trusted.groupBy("instance").agg(F.collect_set("kind").alias("kinds"))
+        own = F.array_contains("kinds", F.col("kind"))
+        scored = graph.join(kinds, "instance").groupBy("kind", "context").agg(
+            F.sum(F.when(own, F.col("n")).otherwise(0)).alias("hits"), F.sum(F.when(own, 0).otherwise(F.col("n"))).alias("misses"),
+            F.sum(own.cast("int")).alias("instances"), F.max("others").alias("others"),
+        ).withColumn("confidence", F.col("hits") / (F.col("hits") + F.col("misses") + F.greatest("others", F.lit(0))))
         sure = stored(scored.filter((F.col("confidence") >= min_confidence) & (F.col("instances") >= min_support)), "pii-sure")
+        # what is trusted stays so, hence the rounds come to an end
         trusted = stored(
-            graph.filter("seed").select("kind", "instance").unionByName(graph.join(sure, ["kind", "context"], "left_semi").select("kind", "instance")).distinct(),
+            trusted.unionByName(graph.join(sure.select("kind", "context"), ["kind", "context"], "left_semi").select("kind", "instance")).distinct(),
             "pii-trusted",
         )
         now = trusted.count()
@@ -233,7 +274,16 @@ def find(docs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: i
     scanned = stored(scan(docs), "pii-scan")
     sure = sure_patterns(scanned, docs, min_confidence, min_support)
     loose = scanned.select("row", F.explode("loose").alias("s")).select("row", "s.kind", "s.start", "s.end", "s.context")
-    added = loose.join(sure, ["kind", "context"], "left_semi").groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    added = loose.join(sure, ["kind", "context"]).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "confidence")).alias("met"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        as_type = pa.list_(pa.struct([(n, pa.int32()) for n in ("kind", "start", "end")]))
+        for batch in small_batches(batches):
+            picked = [chosen([(m["start"], m["kind"], m["end"], m["confidence"]) for m in met]) for met in batch.column("met").to_pylist()]
+            spans = [[{"kind": k, "start": s, "end": e} for s, k, e in p] for p in picked]
+            yield pa.record_batch({"row": batch.column("row"), "added": pa.array(spans, as_type)})
+
+    added = added.mapInArrow(choose, f"row long, added {_SPAN}")
     plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return scanned.select("row", "doc_id", "text_hash", plain.alias("base")).join(added, "row", "left").select(
         "row", "doc_id", "text_hash", "base", F.coalesce("added", F.array().cast(_SPAN)).alias("added")
