@@ -52,7 +52,8 @@ def ships(events: DataFrame) -> DataFrame:
         along(0).alias("lat"), along(1).alias("lon"),
         (F.lit(12) + F.col("k") % 9).cast("double").alias("speed_kn"),
         ((F.col("event_id") * 37) % 360).cast("double").alias("heading"),
-        F.lit("Valladolid").alias("warehouse"),
+        # A value of the row, not a literal: joins on it stay equality joins.
+        F.when(F.col("user_id").isNotNull(), "Valladolid").alias("warehouse"),
         (F.col("user_id") * 53 % 100).cast("int").alias("stock_on_hand"),
         F.lit(30).alias("reorder_point"),
     )
