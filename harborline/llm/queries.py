@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import fingerprints, mixing, near_dup, packing, pii, suffix_dedup, token_count, topk, toxicity, url_filter
-from harborline.llm.common import table
+from harborline.llm import fill_middle, fingerprints, mixing, near_dup, packing, pii, runs, suffix_dedup, token_count, topk, toxicity, url_filter
+from harborline.llm.common import WORD, table
 
 #: The rules of the pages query, as (verdict, host, path).
 URL_RULES = [
@@ -69,10 +69,44 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer(token_count.TOKENIZER))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten goes on repeating a stretch of its words, as the contract of the run query asks."""
+    drawn = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    g, n = F.floor(drawn / 10), F.size("_words")
+    words = docs.select(
+        "doc_id", "text", g.alias("_g"),
+        F.when(drawn % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"))).alias("_words"),
+    )
+    start = (F.col("_g") % n).cast("int")
+    period = (F.lit(1) + F.floor((n - F.col("_start")) / (F.lit(3) + F.col("_g") % 8))).cast("int")
+    at = F.transform(F.sequence(F.col("_start"), n - 1), lambda i: F.get("_words", F.col("_start") + (i - F.col("_start")) % F.col("_period")))
+    tail = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_start")), at), " ")
+    placed = words.withColumn("_start", F.when(n > 0, start)).withColumn("_period", period)
+    return placed.select("doc_id", F.when(n > 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(with_repeated_tails(table(spark, sf_dir, "documents"))).withColumn("_best", runs.strongest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(F.lit(1000) * F.col("_best.length") / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_mixing, op2_fingerprints, op3_topk, op4_toxicity, op5_repeats, op6_simhash_groups, op7_packing,
-        op8_url_rules, op9_personal_data, op10_token_counts,
+        op8_url_rules, op9_personal_data, op10_token_counts, op11_fill_middle, op13_periodic_runs,
     ]
     return {q.__name__: q for q in own}
 
@@ -131,6 +165,28 @@ SQL = {
           from pieces, rules
           where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path) group by page_id)
         select p.page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from pieces p left join fits f using (page_id)""",
+    "op11_fill_middle": r"""
+        with drawn as (
+          select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as hex,
+            regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as tokens from documents),
+        numbers as (
+          select *, len(tokens) as n, cast('0x' || substr(hex, 1, 8) as bigint) as h1, cast('0x' || substr(hex, 9, 8) as bigint) as h2,
+            cast('0x' || substr(hex, 17, 8) as bigint) as h3, cast('0x' || substr(hex, 25, 8) as bigint) as h4 from drawn),
+        cuts as (
+          select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+            case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+          from numbers),
+        parts as (
+          select doc_id, n, form, text, coalesce(array_to_string(tokens[1:low], ''), '') as p,
+            coalesce(array_to_string(tokens[low + 1:high], ''), '') as m, coalesce(array_to_string(tokens[high + 1:n], ''), '') as s
+          from cuts)
+        select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+          case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+          sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+            else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+          sha256(text) as restored_sha256
+        from parts""",
 }
 
 
