@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import fill_middle, fingerprints, mixing, near_dup, packing, pii, runs, suffix_dedup, token_count, topk, toxicity, url_filter
+from harborline.llm import fill_middle, fingerprints, mixing, near_dup, packing, pii, quality, runs, suffix_dedup, token_count, topk, toxicity, url_filter
 from harborline.llm.common import WORD, table
 
 #: The rules of the pages query, as (verdict, host, path).
@@ -77,6 +77,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def with_repeated_tails(docs: DataFrame) -> DataFrame:
     """Documents of which one in ten goes on repeating a stretch of its words, as the contract of the run query asks."""
     drawn = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
@@ -106,7 +110,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_mixing, op2_fingerprints, op3_topk, op4_toxicity, op5_repeats, op6_simhash_groups, op7_packing,
-        op8_url_rules, op9_personal_data, op10_token_counts, op11_fill_middle, op13_periodic_runs,
+        op8_url_rules, op9_personal_data, op10_token_counts, op11_fill_middle, op12_quality, op13_periodic_runs,
     ]
     return {q.__name__: q for q in own}
 
