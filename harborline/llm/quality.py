@@ -97,6 +97,18 @@ def passages(documents: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     return np.concatenate((np.sqrt(shapes), np.sqrt(vocabulary), np.minimum(figures, 5)), axis=1, dtype=np.float32, casting="same_kind"), counts
 
 
+def _groups(documents: list[bytes]) -> Iterator[list[bytes]]:
+    """Consecutive texts of ``_GROUP_BYTES`` together, or one longer one."""
+    group, size = [], 0
+    for d in documents:
+        if group and size + len(d) > _GROUP_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(d)
+        size += len(d)
+    yield group
+
+
 class Attention:
     """Encoder, gated attention and logistic layer over bags of passages."""
 
@@ -153,7 +165,8 @@ class Attention:
 
 def learn(documents: list[bytes], label: np.ndarray, share: np.ndarray) -> Attention:
     """Adam over shuffled groups of bags; ``share`` weighs each document."""
-    x, counts = passages(documents)
+    # half precision: the sample is by far the largest thing the task holds
+    x, counts = (np.concatenate(p) for p in zip(*((f.astype(np.float16), n) for f, n in map(passages, _groups(documents)))))
     first, rng = np.cumsum(counts) - counts, np.random.default_rng(12)
     weight = share / share.mean()
     model = Attention.new(float(np.clip(np.average(label, weights=share), 0.01, 0.99)))
@@ -166,7 +179,7 @@ def learn(documents: list[bytes], label: np.ndarray, share: np.ndarray) -> Atten
             some = order[start: start + _BAG]
             at, _ = _ranges(first[some], counts[some])
             step += 1
-            for k, g in model.gradient(x[at], counts[some], label[some], weight[some] / len(some)).items():
+            for k, g in model.gradient(x[at].astype(np.float32), counts[some], label[some], weight[some] / len(some)).items():
                 g = g.astype(np.float32) + _PENALTY * model.weights[k]
                 mean[k] += 0.1 * (g - mean[k])
                 square[k] += 0.001 * (g * g - square[k])
@@ -226,22 +239,9 @@ def score(docs: DataFrame, model: Attention | float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Attention(shared.value)
-
-        def of(ids: list, documents: list[bytes]) -> pa.RecordBatch:
-            return pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "score": pa.array(model.scores(documents), pa.float64())})
-
-        ids, documents, size = [], [], 0
         for batch in small_batches(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                text = text.encode()
-                if documents and size + len(text) > _GROUP_BYTES:
-                    yield of(ids, documents)
-                    ids, documents, size = [], [], 0
-                ids.append(doc_id)
-                documents.append(text)
-                size += len(text)
-        if documents:
-            yield of(ids, documents)
+            scores = [model.scores(group) for group in _groups([t.encode() for t in texts(batch)])]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(np.concatenate(scores), pa.float64())})
 
     return ids.mapInArrow(run, "doc_id long, score double")
 
