@@ -1,11 +1,12 @@
 """SimHash fingerprints of documents, and the search for all fingerprints within a Hamming radius.
 
-Terms are word shingles; every occurrence of a term votes with its weight, on each bit for or against as the bit of the term's
-hash is set. A fingerprint bit is set where the votes for it prevail. The search cuts fingerprints into blocks and keeps one
+Terms are word shingles. A term that occurs n times weighs 1 + ln(n), in 64ths, times what a ``weight`` function says, so that repeated
+lines do not outvote the rest. It votes with its weight, on each bit for or against as the bit of the term's hash is set. A fingerprint
+bit is set where the votes for it prevail. The search cuts fingerprints into blocks and keeps one
 table for every choice of blocks that a pair within the radius must share, in permuted order: equal keys are compared in full.
 
 Defined results: a null text counts as empty; an empty text has the fingerprint zero; a text of fewer words than a shingle is
-one term; null ids sort first, equal ids by text; repeated rows count each; the one row of a table is its own successor; an
+one term; very long texts are fingerprinted whole; null ids sort first, equal ids by text; repeated rows count each; the one row of a table is its own successor; an
 empty table gives an empty result; further columns are left out.
 """
 
@@ -29,13 +30,14 @@ BITS = 128
 SHINGLE = 3
 _WORDS = re.compile(WORD)
 _BLOCK_TERMS = 16_384
+_SCALE = 64
 _MAX_KNOWN = 200_000
 _MASK = (1 << 64) - 1
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
 class Fingerprinter:
-    """Fingerprints of texts; ``weight`` maps the 64-bit hashes of terms to their weights (default: one each)."""
+    """Fingerprints of texts; ``weight`` maps the 64-bit hashes of terms to factors of their weights (default: one each)."""
 
     def __init__(self, bits: int = BITS, shingle: int = SHINGLE, weight=None):
         if bits % 64:
@@ -56,12 +58,17 @@ class Fingerprinter:
         return np.array(out, dtype=np.uint64)
 
     def _votes(self, terms: np.ndarray) -> np.ndarray:
+        terms, times = np.unique(terms, return_counts=True)
+        weights = 1 + np.log(times)
+        if self.weight is not None:
+            weights *= self.weight(terms)
+        # whole numbers: sums of a block are exact, and votes that cancel out give zero
+        weights = np.rint(_SCALE * weights)
         votes = np.zeros(self.bits)
         for start in range(0, len(terms), _BLOCK_TERMS):
-            part = terms[start: start + _BLOCK_TERMS]
+            part, weight = terms[start: start + _BLOCK_TERMS], weights[start: start + _BLOCK_TERMS]
             lanes = np.stack([_mixed(part ^ np.uint64(_MIX[i % 4] + i & _MASK)) for i in range(self.bits // 64)], axis=1)
             bits = np.unpackbits(lanes.astype(">u8").view(np.uint8).reshape(len(part), -1), axis=1)
-            weight = np.ones(len(part)) if self.weight is None else self.weight(part)
             votes += 2 * (weight.astype(np.float32) @ bits.astype(np.float32)) - weight.sum()
         return votes
 
@@ -106,15 +113,17 @@ def within(prints: DataFrame, radius: int = 3, blocks: int | None = None, bits:
     """``fingerprint, other``: pairs of different fingerprints with at most ``radius`` differing bits, each pair once.
 
     Of ``blocks`` blocks, at least ``blocks - radius`` agree; there is a table for every such choice, keyed by those blocks.
-    Works on distinct fingerprints, so copies are not paired.
+    Works on distinct fingerprints, so copies are not paired. More blocks give more tables with longer keys. A key of few bits
+    puts many unlike fingerprints together; with as many blocks as differing bits, or fewer, no key would be sure to be shared.
     """
-    blocks = blocks or 2 * radius + 2
-    digits = bits // 4
+    blocks, digits = blocks or 2 * radius, bits // 4
+    if not radius < blocks <= digits:
+        raise ValueError(f"a radius of {radius} needs more than {radius} blocks, and {bits} bits allow {digits} at most")
     edges = [digits * i // blocks for i in range(blocks + 1)]
     piece = [F.substring("fingerprint", edges[i] + 1, edges[i + 1] - edges[i]) for i in range(blocks)]
     tables = [
         F.concat(F.lit(f"{number}:"), *[piece[i] for i in kept])
-        for number, kept in enumerate(combinations(range(blocks), max(1, blocks - radius)))
+        for number, kept in enumerate(combinations(range(blocks), blocks - radius))
     ]
     keyed = prints.select("fingerprint").distinct().withColumn("key", F.explode(F.array(*tables)))
     other = keyed.select(F.col("fingerprint").alias("other"), "key")

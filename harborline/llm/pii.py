@@ -3,13 +3,15 @@
 Fixed patterns find e-mail and network addresses, card and telephone numbers. These seeds induce lexical patterns: the two words
 before a seed, together with its kind. Loose candidates are spans that look like a kind but that the fixed patterns turn down.
 Patterns and instances form a graph that Spark scores in rounds. In every round, the trusted instances of a kind induce patterns. A
-pattern is as sure as the share of trusted instances of its kind among these and the evidence against it: its occurrences before
-anything that cannot be of its kind, or that is trusted as another kind only. Candidates not known yet count neither way. Instances
-of sure patterns are trusted from the next round on, until no more are. Occurrences are counted over all texts, so a common phrase
-before a few seeds stays unsure.
+pattern is sure if it passes two tests. Its confidence, the share of trusted occurrences among these and the evidence against it, is
+high; against it are its occurrences before anything that cannot be of its kind, or that is trusted as another kind only. And its
+score F / N * log2(F) is high, with F the trust in its different instances together and N all its different candidates: a few
+trusted instances among many unknown ones do not carry a pattern. Seeds are trusted by 1. An instance of sure patterns is trusted
+from the next round on, by their confidences, damped in each round, and more if several patterns agree. Rounds go on until no more
+instances are trusted. Occurrences are counted over all texts, so a common phrase before a few seeds stays unsure.
 
 Defined results: a null text counts as empty; a document without spans has counts of 0 and empty strings; null ids and repeated
-rows are kept; ties in a start go by kind as listed; added spans never overlap base spans or each other; an empty table gives an
+rows are kept; very long texts are scanned whole; ties in a start go by kind as listed; added spans never overlap base spans or each other; an empty table gives an
 empty result; further columns are left out, or carried untouched by ``redact``.
 """
 
@@ -34,6 +36,9 @@ KINDS = ("email", "ip", "card", "phone")
 #: A pattern is used from this share of trusted occurrences and this many different trusted instances on.
 MIN_CONFIDENCE = 0.8
 MIN_SUPPORT = 5
+#: Least F / N * log2(F) of a pattern, and what is left of an instance's trust with every round it comes later.
+MIN_SCORE = 0.5
+DAMPING = 0.8
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -41,12 +46,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What a kind may look like if its context says so.
 _LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:@|\(at\)|\[at\])[A-Za-z0-9-]{1,64}(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,64})*"),
     "ip": re.compile(r"[0-9]{1,3}(?:[.:_-][0-9]{1,3}){3}"),
     "card": re.compile(r"[0-9](?:[\x20.-]?[0-9]){12,18}"),
     "phone": re.compile(r"\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}"),
 }
 _AT = re.compile(r"@|\(at\)|\[at\]")
+_LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]+)*")
 _DIGIT = re.compile(r"[0-9]")
 _BEFORE = re.compile(r"[^\x20\x09-\x0D]+")
 _BLOOM_BITS = 24
@@ -63,19 +68,17 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def _emails(text: str) -> list[tuple[int, int, int]]:
-    """Leftmost addresses, each ``@`` looked at once: what stands before it is taken as far as it goes."""
+def _emails(text: str, sign: re.Pattern = re.compile("@"), domain: re.Pattern = _DOMAIN) -> list[tuple[int, int, int]]:
+    """Leftmost addresses, each sign looked at once: what stands before it is taken as far as it goes."""
     found, last = [], 0
-    at = text.find("@")
-    while at >= 0:
-        start = at
+    for at in sign.finditer(text):
+        start = at.start()
         while start > last and text[start - 1] in _LOCAL:
             start -= 1
-        domain = _DOMAIN.match(text, at + 1) if start < at else None
-        if domain:
-            last = domain.end()
+        rest = domain.match(text, at.end()) if last <= start < at.start() else None
+        if rest:
+            last = rest.end()
             found.append((start, 0, last))
-        at = text.find("@", max(last, at + 1))
     return found
 
 
@@ -111,7 +114,7 @@ def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     """Candidates of every kind apart from all base spans, in order; those of different kinds may overlap."""
     met = []
     if _AT.search(text):
-        met += [(m.start(), 0, m.end()) for m in _LOOSE["email"].finditer(text)]
+        met += _emails(text, _AT, _LOOSE_DOMAIN)
     if _DIGIT.search(text):
         met += [(m.start(), kind, m.end()) for kind in (1, 2, 3) for m in _LOOSE[KINDS[kind]].finditer(text)]
     starts = [start for start, _, _ in base]
@@ -235,7 +238,8 @@ def context_counts(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     return met.join(contexts.select("context").distinct(), "context")
 
 
-def sure_patterns(scanned: DataFrame, docs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT) -> DataFrame:
+def sure_patterns(scanned: DataFrame, docs: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_support: int = MIN_SUPPORT,
+                  min_score: float = MIN_SCORE, damping: float = DAMPING) -> DataFrame:
     """``kind, context, confidence``: patterns that are sure after the last round."""
     spans = lambda c: scanned.select(F.explode(c).alias("s"), F.lit(c == "base").alias("seed")).select("s.*", "seed")
     both = spans("base").unionByName(spans("loose"))
@@ -243,29 +247,33 @@ def sure_patterns(scanned: DataFrame, docs: DataFrame, min_confidence: float = M
         both.groupBy("kind", "context", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.max("piece").alias("piece")), "pii-met"
     )
     # no pattern can ever have more trusted instances than candidates, so these are all that may become sure in any round
-    possible = met.groupBy("kind", "context").agg(F.count("*").alias("kinds"), F.sum("n").alias("candidates"), F.max("piece").alias("piece"))
-    possible = stored(possible.filter(F.col("kinds") >= min_support), "pii-possible")
+    possible = met.groupBy("kind", "context").agg(F.count("*").alias("different"), F.sum("n").alias("candidates"), F.max("piece").alias("piece"))
+    possible = stored(possible.filter(F.col("different") >= min_support), "pii-possible")
     totals = stored(context_counts(docs, possible.groupBy("context").agg(F.max("piece").alias("piece"))), "pii-totals")
-    against = possible.join(totals, "context").select("kind", "context", (F.col("total") - F.col("candidates")).alias("others"))
+    against = possible.join(totals, "context").select("kind", "context", "different", (F.col("total") - F.col("candidates")).alias("others"))
     graph = stored(met.select("kind", "context", "instance", "n").join(against, ["kind", "context"]), "pii-graph")
-    trusted = stored(met.filter("seed").select("kind", "instance").distinct(), "pii-trusted")
-    before = trusted.count()
+    trusted = stored(met.filter("seed").select("kind", "instance").distinct().withColumn("trust", F.lit(1.0)), "pii-trusted")
+    before, late = trusted.count(), 1.0
     while True:
-        kinds = trusted.groupBy("instance").agg(F.collect_set("kind").alias("kinds"))
-        own = F.array_contains("kinds", F.col("kind"))
-        scored = graph.join(kinds, "instance").groupBy("kind", "context").agg(
+        late *= damping
+        known = trusted.groupBy("instance").agg(F.map_from_entries(F.collect_list(F.struct("kind", "trust"))).alias("kinds"))
+        trust = F.coalesce(F.try_element_at("kinds", F.col("kind")), F.lit(0.0))
+        own = trust > 0
+        scored = graph.join(known, "instance").groupBy("kind", "context").agg(
             F.sum(F.when(own, F.col("n")).otherwise(0)).alias("hits"), F.sum(F.when(own, 0).otherwise(F.col("n"))).alias("misses"),
-            F.sum(own.cast("int")).alias("instances"), F.max("others").alias("others"),
-        ).withColumn("confidence", F.col("hits") / (F.col("hits") + F.col("misses") + F.greatest("others", F.lit(0))))
-        sure = stored(scored.filter((F.col("confidence") >= min_confidence) & (F.col("instances") >= min_support)), "pii-sure")
-        # what is trusted stays so, hence the rounds come to an end
-        trusted = stored(
-            trusted.unionByName(graph.join(sure.select("kind", "context"), ["kind", "context"], "left_semi").select("kind", "instance")).distinct(),
-            "pii-trusted",
+            F.sum(own.cast("int")).alias("instances"), F.sum(trust).alias("f"), F.max("others").alias("others"), F.max("different").alias("different"),
         )
+        scored = scored.withColumn("confidence", F.col("hits") / (F.col("hits") + F.col("misses") + F.greatest("others", F.lit(0))))
+        score = F.col("f") / F.col("different") * F.log2("f")
+        is_sure = (F.col("confidence") >= min_confidence) & (F.col("instances") >= min_support) & (F.round(score, 9) >= min_score)
+        sure = stored(scored.filter(is_sure).select("kind", "context", "confidence"), "pii-sure")
+        # several patterns confirm an instance; what is trusted stays so, hence the rounds come to an end
+        doubt = F.sum(F.log(F.greatest(F.lit(1.0) - F.lit(late) * F.col("confidence"), F.lit(1e-12))))
+        new = graph.join(sure, ["kind", "context"]).groupBy("kind", "instance").agg((F.lit(1.0) - F.exp(doubt)).alias("trust"))
+        trusted = stored(trusted.unionByName(new).groupBy("kind", "instance").agg(F.max("trust").alias("trust")), "pii-trusted")
         now = trusted.count()
         if now == before:
-            return sure.select("kind", "context", "confidence")
+            return sure
         before = now
 
 

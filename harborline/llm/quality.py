@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import small_batches, stored, texts
+from harborline.llm.common import small_batches, texts
+from harborline.llm.sampling import bounded_sample, labelled_ids
 from harborline.llm.toxicity import held_out
 
 WORDS = 48
@@ -187,35 +188,15 @@ def learn(documents: list[bytes], label: np.ndarray, share: np.ndarray) -> Atten
     return model
 
 
-def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, fit_bytes: int) -> tuple[DataFrame, dict[int, int]]:
-    """``_id, _label`` of the rows to fit on, those with the smallest id hashes, and the number of training rows of each label."""
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).filter(~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(F.col("quality").cast("int")).alias("_label"))
-    # only ids and lengths meet the labels: texts are read again for the chosen rows
-    present = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("_bytes"))
-    train = stored(present.groupBy("_id").agg(F.max("_bytes").alias("_bytes")).join(known.hint("merge"), "_id"), "quality-train")
-    rows = {r["_label"]: r["n"] for r in train.groupBy("_label").agg(F.count("*").alias("n")).filter("_label in (0, 1)").collect()}
-    chosen = None
-    for label in (0, 1):
-        few = train.filter((F.col("_label") == label) & (F.col("_bytes") <= fit_bytes)).orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
-        chosen = few if chosen is None else chosen.unionByName(few)
-    # bounded by the parameter: as many rows as fit into the bytes, in the order of the hashes
-    chosen = stored(chosen, "quality-chosen").toPandas()
-    chosen["_hash"] = pd.util.hash_array(chosen["_id"].to_numpy())
-    chosen = chosen.sort_values(["_label", "_hash", "_id"])
-    chosen = chosen[chosen.groupby("_label")["_bytes"].cumsum() <= fit_bytes]
-    spark = docs.sparkSession
-    return spark.createDataFrame(chosen[["_id", "_label"]], "_id long, _label int") if len(chosen) else spark.createDataFrame([], "_id long, _label int"), rows
-
-
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Attention | float:
     """The model; the share of label 1 if the training labels lack a class."""
-    chosen, rows = _sample(docs, labels, fit_rows, fit_bytes)
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).filter(~held_out(F.col("doc_id")))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min(F.col("quality").cast("int")).alias("_label"))
+    labelled = labelled_ids(docs, known)
+    rows = {r["_label"]: r["n"] for r in labelled.groupBy("_label").agg(F.count("*").alias("n")).filter("_label in (0, 1)").collect()}
     if len(rows) < 2:
         return float(1 in rows)
-    # as many ids as the parameter allows, and one text for each
-    sample = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id")
-    sample = sample.groupBy("_id", "_label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    sample = bounded_sample(docs, labelled, fit_rows, fit_bytes)
 
     def train(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("_id")

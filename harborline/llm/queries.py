@@ -35,6 +35,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of different fingerprints of whole texts that differ in three bits at most."""
+    return fingerprints.within(fingerprints.fingerprints(table(spark, sf_dir, "documents")), radius=3)
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -109,7 +114,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        op1_mixing, op2_fingerprints, op3_topk, op4_toxicity, op5_repeats, op6_simhash_groups, op7_packing,
+        op1_mixing, op2_fingerprints, op2_neighbours, op3_topk, op4_toxicity, op5_repeats, op6_simhash_groups, op7_packing,
         op8_url_rules, op9_personal_data, op10_token_counts, op11_fill_middle, op12_quality, op13_periodic_runs,
     ]
     return {q.__name__: q for q in own}

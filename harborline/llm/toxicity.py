@@ -7,7 +7,8 @@ gradient descent; its weights, one a bin, are all that the scoring tasks get.
 
 Defined results: a null or empty text has no features and scores as the intercept alone says; rows without a label only get
 scores; several equal labels of one id count once, an id with both labels counts as toxic; null ids are never labelled and not
-held out; repeated rows count each; without labels of both classes all scores are 0; further columns are carried untouched.
+held out; repeated rows count each, but the fit takes one text an id, the smallest; ties of the sample's order go by id; very long
+texts are scored whole; without labels of both classes all scores are 0; further columns are carried untouched.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import small_batches, stored, texts
+from harborline.llm.common import small_batches, texts
+from harborline.llm.sampling import bounded_sample, labelled_ids
 
 BINS = 1 << 18
 ORDERS = (2, 3, 4)
-#: Most training rows of each class that the linear model is fitted on; the counts cover all rows.
-FIT_ROWS = 2000
+#: Most training rows of each class that the linear model is fitted on, and most bytes of their texts; the counts cover all rows.
+FIT_ROWS, FIT_BYTES = 2000, 16 << 20
 _COUNT_BLOCK = 1 << 12
 _CHARS = 1 << 18
 _STEPS = 100
@@ -145,11 +147,11 @@ def fit_linear(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, ra
     return whole, float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS, orders: tuple[int, ...] = ORDERS, fit_rows: int = FIT_ROWS):
+def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS, orders: tuple[int, ...] = ORDERS, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES):
     """Log ratios, weights and intercept; None if the training labels lack a class.
 
-    The linear model is fitted in one task on at most ``fit_rows`` rows of each class, those with the smallest id hashes, and
-    weighted back to the classes' shares of all training rows.
+    The linear model is fitted in one task on a bounded sample of each class, of the labelled ids that ``docs`` has, and weighted
+    back to the classes' shares of all training rows.
     """
     known = _labelled(docs, labels)
     # labels grow with the documents, so they are never broadcast: one plan at every size
@@ -158,11 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS, orders: tuple[int,
     if not rows.all():
         return None
     ratio = log_ratio(counts, rows)
-    order = [F.xxhash64(F.col("_label_id")), F.col("_label_id")]
-    chosen = [known.filter(F.col("_toxic") == c).orderBy(*order).limit(fit_rows) for c in (0, 1)]
-    chosen = stored(chosen[0].unionByName(chosen[1]), "toxicity-sample")
-    # bounded by the parameter, as is what they select
-    sample = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(chosen), F.col("_id") == F.col("_label_id"))
+    labelled = labelled_ids(docs, known.select(F.col("_label_id").cast("long").alias("_id"), F.col("_toxic").alias("_label")))
+    sample = bounded_sample(docs, labelled, fit_rows, fit_bytes).withColumnRenamed("_label", "_toxic")
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     scale = [float(r) for r in rows]
 
@@ -181,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS, orders: tuple[int,
         w, b = fit_linear(found, toxic, weight, shared.value)
         return pd.DataFrame({"weights": [w.tobytes()], "intercept": [b]})
 
-    features = sample.select(F.col("_id").cast("long").alias("_id"), "_toxic", "text").mapInArrow(bins_of, "id long, toxic int, bins binary")
+    features = sample.select("_id", "_toxic", "text").mapInArrow(bins_of, "id long, toxic int, bins binary")
     model = features.groupBy().applyInPandas(train_all, "weights binary, intercept double").first()
     return ratio, np.frombuffer(model["weights"], dtype=np.float32), model["intercept"]
 

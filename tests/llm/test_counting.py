@@ -1,12 +1,15 @@
 """Token counts and packing against the tokenizer library; edits and fingerprints against plain Python."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from harborline.llm import fingerprints, packing, token_count
@@ -130,6 +133,45 @@ def test_edits_follow_the_next_document(spark):
     assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one[0].near_next == 1.0
 
 
+def plain_fingerprint(text, bits=128):
+    """Every distinct shingle votes on every bit with 1 + ln of how often it occurs, by loops."""
+    mask, mix = (1 << 64) - 1, fingerprints._MIX
+
+    def mixed(x):
+        x = (x ^ (x >> 29)) * mix[1] & mask
+        return x ^ (x >> 32)
+
+    words = [xxhash.xxh3_64_intdigest(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", text.lower())]
+    n, terms = min(3, len(words)), {}
+    for at in range(len(words) - n + 1 if words else 0):
+        term = 0
+        for w in words[at: at + n]:
+            term = mixed((term * mix[0] + w) & mask)
+        terms[term] = terms.get(term, 0) + 1
+    out = 0
+    for bit in range(bits):
+        lane, at = divmod(bit, 64)
+        votes = sum(round(64 * (1 + math.log(k))) * (1 if mixed(t ^ (mix[lane % 4] + lane & mask)) >> (63 - at) & 1 else -1) for t, k in terms.items())
+        out = out << 1 | (votes > 0)
+    return f"{out:032x}"
+
+
+def test_fingerprints_are_weighted_votes():
+    made = fingerprints.Fingerprinter()
+    for text in [r[1] or "" for r in make() if len(r[1] or "") < 5000] + ["a b c " * 9 + "d e f g"]:
+        assert made(text).hex() == plain_fingerprint(text)
+    few = made("a b c d e")
+    assert few == made("a b c d e") and few != made("a b c d e a b c a b c a b c")
+
+
+def test_blocks_must_outnumber_the_radius(spark):
+    prints = spark.createDataFrame([("0" * 32,)], "fingerprint string")
+    for blocks in (2, 3, 33):
+        with pytest.raises(ValueError):
+            fingerprints.within(prints, radius=3, blocks=blocks)
+    assert fingerprints.within(prints, radius=3, blocks=4).collect() == []
+
+
 def test_every_pair_within_the_radius_is_found(spark):
     rng = random.Random(5)
     prints = [rng.getrandbits(128) for _ in range(60)]
@@ -157,6 +199,7 @@ def test_fingerprints_of_near_texts_are_near(spark):
     assert got.fingerprint == made(text).hex() and made("") == bytes(16)
     heavy = fingerprints.Fingerprinter(weight=lambda h: np.full(len(h), 2.0))
     assert heavy(text) == made(text)
+    assert fingerprints.Fingerprinter(weight=lambda h: (h >> np.uint64(60)).astype(float))(text) != made(text)
 
 
 def test_word_encoder_equals_the_tokenizer():

@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -232,6 +234,51 @@ def test_toxicity_generalises_to_held_out_rows(spark):
     assert sorted_rows(toxicity.classify(docs, flipped).collect()) == sorted_rows(got)
 
 
+def plain_bins(text):
+    """Bins of the distinct n-grams, by loops over characters."""
+    out, points = set(), [ord(c) for c in (text or "").lower()]
+    for n in toxicity.ORDERS:
+        for at in range(len(points) - n + 1):
+            gram = 0
+            for p in points[at: at + n]:
+                gram = (gram * 0x9E3779B97F4A7C15 + p + 1) % (1 << 64)
+            out.add(((gram ^ (gram >> 31)) * 0xD6E8FEB86659FD93) % (1 << 64) >> (65 - toxicity.BINS.bit_length()))
+    return sorted(out)
+
+
+def test_toxicity_counts_ratios_scores_and_fit_equal_brute_force(spark):
+    rows, labels = toxic_rows(120)
+    rows += [(rows[0][0], rows[0][1], "en", "s1")] * 2 + [(500, "", "en", "s1"), (501, None, "en", "s1"), (502, "Ärger 😀 naïve", "en", "s1")]
+    labels += [(500, 1, 0), (501, 1, 0), (900, 1, 1)]  # the last has no document
+    docs, marked = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ratio, weights, intercept = toxicity.fit(docs, marked)
+    truth = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5}
+    counts, seen = np.zeros((2, toxicity.BINS)), [0, 0]
+    for i, text, *_ in rows:
+        if i in truth:
+            counts[truth[i], plain_bins(text)] += 1
+            seen[truth[i]] += 1
+    share = [(counts[c] + 1) / (seen[c] + 2) for c in (0, 1)]
+    assert np.allclose(ratio, np.log(share[1]) - np.log(share[0]), atol=1e-5)
+
+    def vector(text):
+        x = np.zeros(toxicity.BINS)
+        bins = plain_bins(text)
+        x[bins] = ratio[bins]
+        return x / (np.linalg.norm(x) or 1)
+
+    got = {r.doc_id: r.score for r in toxicity.classify(docs, marked).collect()}
+    for i, text, *_ in rows:
+        assert abs(got[i] - 1 / (1 + np.exp(-(vector(text) @ weights + intercept)))) < 1e-5
+    # the weights are where the penalised loss of the sample, one row an id, is flat
+    ids = {i: text for i, text, *_ in rows if i in truth}
+    label = np.array([truth[i] for i in ids])
+    x = np.array([vector(t) for t in ids.values()])
+    weight = np.where(label == 1, seen[1] / label.sum(), seen[0] / (1 - label).sum())
+    error = weight / weight.sum() * (1 / (1 + np.exp(-(x @ weights + intercept))) - label)
+    assert abs(error.sum()) < 2e-3 and np.abs(x.T @ error + toxicity._PENALTY * weights).max() < 2e-3
+
+
 def test_toxicity_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.classify(frame(spark), none).collect()} == {0.0}
