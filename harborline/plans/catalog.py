@@ -16,8 +16,9 @@ from harborline.plans import adapters, microbatch
 from harborline.plans.domain import FLEET_AS_OF, Domain
 from harborline.session import cut_lineage, shared_dir
 from harborline.sources.readers import message_stream, recent_rows
+from harborline.sources.tables import appended
 from harborline.streaming import queries as streams
-from harborline.streaming import windows
+from harborline.streaming import state, windows
 
 SOURCE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
@@ -599,6 +600,48 @@ def stream_latest_state(d: Domain) -> DataFrame:
     return _rounded(streams.read_state(d.spark, f"{out}/state"), "lat", "lon").drop("event_id")
 
 
+@query
+def stream_window_risk(d: Domain) -> DataFrame:
+    """Risk of closed windows, from a stream of positions and a stream of alerts."""
+    out = _run_folder(d, "stream_window_risk")
+    ships = adapters.ships(_event_stream(d)).withColumnRenamed("ts", "event_ts")
+    notices = adapters.alerts(_event_stream(d)).withColumnRenamed("ts", "event_ts")
+    streams.window_risk_query(ships, notices, f"{out}/table", streams.checkpoint_path(out, "risk")).awaitTermination()
+    rows = _rounded(appended(d.spark, f"{out}/table"), "severity_avg", "speed_std")
+    return rows.withColumns(_ntz("window_start", "window_end"))
+
+
+@query
+def stream_keyed_state(d: Domain) -> DataFrame:
+    """The latest row per ship as keyed state: files out of order with repeated rows, several batches, and a new checkpoint half way."""
+    out, order = _run_folder(d, "stream_keyed_state"), ["event_ts", "event_id"]
+    events = d.table("events")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for part, rows in enumerate((events.filter(half == 0), events.filter((half == 1) | (F.col("event_id") % 10 == 0)))):
+        rows.repartition(3, "event_id").write.parquet(f"{out}/in{part}")
+        found = message_stream(d.spark, f"{out}/in{part}", "parquet", schema=events.schema, per_trigger=1)
+        ships = adapters.ships(found).withColumnRenamed("ts", "event_ts")
+        checkpoint = streams.checkpoint_path(out, "state", part + 1)
+        state.newest_rows_query(ships, f"{out}/state", checkpoint, ["ship_id"], order).awaitTermination()
+    return _rounded(state.read_newest(d.spark, f"{out}/state", ["ship_id"], order), "lat", "lon").drop("event_id")
+
+
+@query
+def landed_ships_incremental(d: Domain) -> DataFrame:
+    """Positions staged in two runs: the first finds the first half of the landed files, the second reads the other half only."""
+    out = _run_folder(d, "landed_ships_incremental")
+    events = d.table("events")
+    run = microbatch.Run(d.spark, f"{out}/raw", f"{out}/tables", FLEET_AS_OF, landed=True, incremental=True)
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{out}/in")
+        feed = message_stream(d.spark, f"{out}/in", "parquet", schema=events.schema)
+        rows = streams.landing_rows(adapters.raw_lines(feed, deliveries=2))
+        checkpoint = streams.checkpoint_path(out, "landing")
+        streams.landing_query(rows, f"{out}/raw", checkpoint, streams.MICRO_BATCH, by=("kind", "dt")).awaitTermination()
+        microbatch.raw_to_staging(run)
+    return run.read("stg_ships").drop("stock_on_hand", *staging.schemas.LINEAGE.names).withColumns(_ntz("ts_utc"))
+
+
 @query
 def stream_raw_landing(d: Domain) -> DataFrame:
     """Land the raw topics as files, then count messages per kind and day from the files."""

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from harborline import schemas
 from harborline.functions.calendar import moment
 from harborline.operators import alerts, contingency, fleet, graph, network, staging, weather
-from harborline.sources import writers
+from harborline.plans import incremental
+from harborline.sources import tables, writers
 from harborline.sources.master import TABLE_NAMES, master
 from harborline.sources.readers import json_lines, landed_lines
 
@@ -32,18 +33,26 @@ class Run:
     database: str | None = None
     raw_glob: str = "*/*/*/*/*.jsonl"
     landed: bool = False  # whether a landing stream wrote ``raw``, in folders by kind
+    incremental: bool = False  # whether staging reads only files that came since the last run
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The last complete rows of a table."""
+        if self.incremental and name in incremental.STAGED:
+            return incremental.staged_table(self, name).read()
+        rows = tables.read_latest_version(self.spark, self.path(name))
+        if rows is None:
+            raise FileNotFoundError(f"no complete version of {name} under {self.base}")
+        return rows
 
     def write(self, df: DataFrame, name: str) -> None:
+        """Replace a table; a stage that fails leaves the last good rows."""
         if self.database:
             writers.overwrite_table(df, f"{self.database}.{name}", self.path(name))
         else:
-            df.write.mode("overwrite").parquet(self.path(name))
+            tables.replace_rows(df, self.path(name))
 
     def raw_lines(self, kind: str, schema) -> DataFrame:
         schema = schemas.with_lineage(schema)
@@ -58,6 +67,9 @@ def dimensions(run: Run) -> None:
 
 
 def raw_to_staging(run: Run) -> None:
+    if run.incremental:
+        incremental.raw_to_staging(run)
+        return
     run.write(staging.stage_ships(run.raw_lines("ships", schemas.SHIP_POSITION)), "stg_ships")
     for kind in ("clima", "noticias"):
         run.write(staging.stage_alerts(run.raw_lines(kind, schemas.GLOBAL_ALERT)), f"stg_alerts_{kind}")

@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from harborline.functions.columns import stable_key
 from harborline.functions.ranking import last_seen
 from harborline.schemas import SERVING_KEYS, SERVING_TABLES
+from harborline.sources.tables import append_once, complete_versions, read_latest_version, replace_table, version_path
 
 
 def overwrite_table(df: DataFrame, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace an external Parquet table and its catalog entry."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    """Replace a catalog table over versioned Parquet folders; readers see the old rows until the new ones are complete."""
+    replace_table(df, table, path, partition_by)
 
 
 def write_dimension(df: DataFrame, table: str, path: str) -> None:
@@ -46,16 +43,18 @@ def conform(df: DataFrame, table: str, **defaults: Column) -> DataFrame:
     )
 
 
-def append_serving_rows(df: DataFrame, table: str, path: str, written_at: Column | None = None,
-                        fmt: str = "parquet", **options: str) -> None:
-    """Append metric or alert rows with the write time; the format can be any installed connector."""
+def append_serving_rows(df: DataFrame, table: str, path: str, token: str, written_at: Column | None = None) -> None:
+    """Append metric, alert or prediction rows with the write time. The same batch ``token`` again adds nothing twice."""
+    append_once(serving_rows(df, table, written_at), path, token)
+
+
+def serving_rows(df: DataFrame, table: str, written_at: Column | None = None) -> DataFrame:
+    """Rows of a serving table with the time they are written and, where the table has one, their id."""
     at = written_at if written_at is not None else F.current_timestamp()
     time_column = "processed_at" if "processed_at" in SERVING_TABLES[table].names else "created_at"
     rows = conform(df, table, **{time_column: at})
     id_column = {"route_alerts": "alert_id", "ml_predictions": "prediction_id"}.get(table)
-    if id_column:
-        rows = rows.withColumn(id_column, stable_key(*[F.col(c) for c in SERVING_KEYS[table]]))
-    rows.write.mode("append").format(fmt).options(**options).save(path)
+    return rows.withColumn(id_column, stable_key(*[F.col(c) for c in SERVING_KEYS[table]])) if id_column else rows
 
 
 def publish_events(df: DataFrame, key: str, topic: str | None = None) -> DataFrame:
@@ -70,57 +69,6 @@ def export_tsv(df: DataFrame, path: str) -> None:
     text.write.mode("overwrite").option("sep", "\t").option("nullValue", "").option("emptyValue", "").csv(path)
 
 
-# ---- Versioned folders ---------------------------------------------------------------------------
-# A version is complete once Spark wrote its _SUCCESS marker. Readers take the newest complete
-# version, so a lost executor or a restarted driver never leaves a half-written state visible.
-
-
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def complete_versions(spark: SparkSession, base: str) -> list[int]:
-    files, root = _folder(spark, base)
-    if not files.exists(root):
-        return []
-    found = []
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("version="):
-            done, marker = _folder(spark, f"{base}/{name}/_SUCCESS")
-            if done.exists(marker):
-                found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
-
-
-def version_path(base: str, version: int) -> str:
-    return f"{base}/version={version:012d}"
-
-
-def read_latest_version(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
-    versions = [v for v in complete_versions(spark, base) if before is None or v < before]
-    return spark.read.parquet(version_path(base, versions[-1])) if versions else None
-
-
-def version_for(spark: SparkSession, base: str, origin: str) -> int:
-    """Version that the batch ``origin`` writes: the one it was given before, or the next after all given so far.
-
-    The choice is noted as an empty file before anything is written, so a replay finds it.
-    """
-    files, root = _folder(spark, f"{base}/_origins")
-    given = {}
-    if files.exists(root):
-        for status in files.listStatus(root):
-            name, version = status.getPath().getName().rsplit(".", 1)
-            given[name] = int(version)
-    if origin not in given:
-        given[origin] = max([*given.values(), *complete_versions(spark, base), -1]) + 1
-        files, note = _folder(spark, f"{base}/_origins/{origin}.{given[origin]}")
-        files.create(note).close()
-    return given[origin]
-
-
 def upsert_latest(new_rows: DataFrame, base: str, version: int, keys: Sequence[str], ts: str,
                   tie: Sequence[str] = ()) -> None:
     """Merge rows into the latest-state table: newest row per key wins, whatever the arrival order.
@@ -137,13 +85,6 @@ def upsert_latest(new_rows: DataFrame, base: str, version: int, keys: Sequence[s
     merged.write.mode("overwrite").parquet(version_path(base, version))
 
 
-def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
-    """Remove complete versions older than the newest ``keep``."""
-    for version in complete_versions(spark, base)[:-keep]:
-        files, path = _folder(spark, version_path(base, version))
-        files.delete(path, True)
-
-
 # ---- Result bundle -------------------------------------------------------------------------------
 
 BUNDLE_KEY_SECTIONS = ("ships_latest", "stock_valladolid", "customer_orders_douai", "article_gantt")

@@ -15,7 +15,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from harborline import schemas
 from harborline.functions.calendar import event_time
 from harborline.operators import staging, weather
-from harborline.sources.writers import conform, drop_old_versions, read_latest_version, upsert_latest, version_for
+from harborline.sources.tables import append_once, drop_old_versions, read_latest_version, version_for
+from harborline.sources.writers import serving_rows, upsert_latest
 from harborline.streaming import windows
 
 MICRO_BATCH = {"availableNow": True}
@@ -28,10 +29,11 @@ def checkpoint_path(base: str, name: str, version: int = 1) -> str:
 
 
 def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-                  trigger: Mapping[str, object] = MICRO_BATCH, mode: str = "append", name: str | None = None) -> StreamingQuery:
-    """Run ``write`` for every micro-batch that has rows. A replayed batch keeps its id."""
+                  trigger: Mapping[str, object] = MICRO_BATCH, mode: str = "append", name: str | None = None,
+                  skip_empty: bool = True) -> StreamingQuery:
+    """Run ``write`` for every micro-batch, with ``skip_empty`` only for those that have rows. A replayed batch keeps its id."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        if not skip_empty or not batch.isEmpty():
             write(batch, batch_id)
 
     writer = df.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -40,21 +42,20 @@ def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     return writer.trigger(**dict(trigger)).start()
 
 
-def _run_name(checkpoint: str) -> str:
+def run_name(checkpoint: str) -> str:
     """Name of the query version that a checkpoint belongs to; batch ids are unique within it only."""
     return checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
 
 def _batch_folder(table: str, path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
-    """Each batch overwrites its own folder, so a replay after a failure adds nothing twice.
+    """Each batch is appended once, so a replay after a failure adds nothing twice.
 
     A new checkpoint counts batches from 0 again; its name keeps its folders apart from those of the versions before.
     """
-    run = _run_name(checkpoint)
+    run = run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = conform(batch, table, processed_at=F.current_timestamp())
-        rows.write.mode("overwrite").parquet(f"{path}/batch={run}-{batch_id}")
+        append_once(serving_rows(batch, table), path, f"{run}-{batch_id}")
     return write
 
 
@@ -68,6 +69,13 @@ def alert_metrics_query(alerts: DataFrame, path: str, checkpoint: str, trigger:
     return start_batches(metrics, _batch_folder("alert_metrics", path, checkpoint), checkpoint, trigger)
 
 
+def window_risk_query(ships: DataFrame, alerts: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
+    """Risk class of every closed window, destination and route, from two streams; each batch is appended once."""
+    run = run_name(checkpoint)
+    risks = windows.stream_window_risk(windows.with_watermark(ships), windows.with_watermark(alerts))
+    return start_batches(risks, lambda batch, i: append_once(batch, path, f"{run}-{i}"), checkpoint, trigger)
+
+
 def weather_fact_query(snapshots: DataFrame, context: DataFrame, path: str, checkpoint: str,
                        trigger: Mapping[str, object] = MICRO_BATCH) -> StreamingQuery:
     """Weather observations joined with the static route context and written as operational facts."""
@@ -86,7 +94,7 @@ def latest_state_query(ships: DataFrame, base: str, checkpoint: str, tie: Sequen
     Versions go on counting when the checkpoint changes, and a replayed batch gets the version it had; older versions than
     the last two are removed.
     """
-    run = _run_name(checkpoint)
+    run = run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version = version_for(batch.sparkSession, base, f"{run}-{batch_id}")

@@ -55,9 +55,25 @@ def window_risk(ship_windows: DataFrame, alert_windows: DataFrame) -> DataFrame:
     """
     severity = F.sum(F.col("avg_severity") * F.col("alert_count")) / F.sum("alert_count")
     per_window = alert_windows.groupBy("window_start").agg(severity.alias("severity_avg"))
+    return _classified(ship_windows.join(per_window, "window_start", "left"))
+
+
+def _classified(rows: DataFrame) -> DataFrame:
     return (
-        ship_windows.join(per_window, "window_start", "left")
-        .withColumn("severity_avg", F.coalesce("severity_avg", F.lit(0.0)))
+        rows.withColumn("severity_avg", F.coalesce("severity_avg", F.lit(0.0)))
         .withColumn("risk_class", risk_class(F.round("severity_avg", 6), F.round("speed_std", 6)))
         .select("window_start", "window_end", "dest_port", "route_id", "severity_avg", "speed_std", "ship_count", "risk_class")
     )
+
+
+def stream_window_risk(ships: DataFrame, alerts: DataFrame, window: str = WINDOW) -> DataFrame:
+    """:func:`window_risk` on two watermarked streams: both are aggregated by window, then joined by window.
+
+    The join holds a window's rows until both watermarks have passed it; then a window without alerts leaves with severity 0.
+    """
+    def of(df: DataFrame, *keys: str):
+        return df.groupBy(F.window("event_ts", window).alias("window"), *keys)
+
+    speeds = of(ships, "dest_port", "route_id").agg(F.stddev("speed_kn").alias("speed_std"), F.count("*").alias("ship_count"))
+    severities = of(alerts).agg(F.avg("severity").alias("severity_avg"))
+    return _classified(_flat(speeds.join(severities, "window", "left")))

@@ -402,6 +402,13 @@ def _indicators() -> dict[str, str]:
     closed = "where window_end <= (select max(date_trunc('milliseconds', ts)) from {source}) - interval 15 minutes"
     ship = "select * replace (round(avg_speed, 9) as avg_speed, round(speed_std, 9) as speed_std, round(avg_lat, 9) as avg_lat, round(avg_lon, 9) as avg_lon) from ship_windows "
     alert = "select * replace (round(avg_severity, 9) as avg_severity, round(avg_confidence, 9) as avg_confidence) from alert_windows "
+    risk = """
+            select window_start, window_end, dest_port, route_id, round(severity_avg, 6) as severity_avg, round(speed_std, 6) as speed_std, ship_count,
+              case when score >= 3.5 then 'CRITICO' when score >= 2.0 then 'ALTO' when score >= 1.0 then 'MEDIO' else 'BAJO' end as risk_class
+            from (select s.*, coalesce(a.severity_avg, 0) as severity_avg,
+                0.7::double * round(coalesce(a.severity_avg, 0), 6) + 0.3::double * (coalesce(round(s.speed_std, 6), 0.0::double) / 10.0::double) as score
+              from ship_windows s left join (select time_bucket(interval '15 minutes', ts) as window_start, avg(severity) as severity_avg
+                from alerts group by 1) a on a.window_start = s.window_start)"""
     return {
         "control_tower_kpis": with_ctes("""
             select round(avg(round(available_after_orders / daily_consumption_avg::double, 1)), 1) as doh,
@@ -422,20 +429,19 @@ def _indicators() -> dict[str, str]:
               count(*) as orders from customer_orders group by 1)""", "customer_orders"),
         "windowed_ship_metrics": with_ctes(ship, "ship_windows"),
         "windowed_alert_metrics": with_ctes(alert, "alert_windows"),
-        "window_risk_class": with_ctes("""
-            select window_start, window_end, dest_port, route_id, round(severity_avg, 6) as severity_avg, round(speed_std, 6) as speed_std, ship_count,
-              case when score >= 3.5 then 'CRITICO' when score >= 2.0 then 'ALTO' when score >= 1.0 then 'MEDIO' else 'BAJO' end as risk_class
-            from (select s.*, coalesce(a.severity_avg, 0) as severity_avg,
-                0.7::double * round(coalesce(a.severity_avg, 0), 6) + 0.3::double * (coalesce(round(s.speed_std, 6), 0.0::double) / 10.0::double) as score
-              from ship_windows s left join (select time_bucket(interval '15 minutes', ts) as window_start, avg(severity) as severity_avg
-                from alerts group by 1) a on a.window_start = s.window_start)""", "ship_windows", "alerts"),
+        "window_risk_class": with_ctes(risk, "ship_windows", "alerts"),
+        "stream_window_risk": with_ctes(risk + closed.format(source="alerts"), "ship_windows", "alerts"),
         "stream_ship_metrics": with_ctes(ship + closed.format(source="ships"), "ship_windows", "ships"),
         "stream_alert_metrics": with_ctes(alert + closed.format(source="alerts"), "alert_windows", "alerts"),
         "stream_weather_fact": with_ctes(f"select {OPERATIONAL.replace('operational_ts, ', '')} from operational", "operational"),
         "stream_latest_state": with_ctes("""
             select ship_id, ts as event_ts, route_id, origin_port, dest_port, warehouse, round(lat, 6) as lat, round(lon, 6) as lon, speed_kn, heading,
               stock_on_hand, reorder_point from latest""", "latest"),
+        "stream_keyed_state": with_ctes("""
+            select ship_id, ts as event_ts, route_id, origin_port, dest_port, warehouse, round(lat, 6) as lat, round(lon, 6) as lon, speed_kn, heading,
+              stock_on_hand, reorder_point from latest""", "latest"),
         "landed_ships_staged": _staging()["stg_ships_dedup"],
+        "landed_ships_incremental": _staging()["stg_ships_dedup"],
         "stream_raw_landing": with_ctes("""
             select kind, dt, count(*) as messages
             from (select case when feed <> 'alert' then 'ships' when not cut and lower(trim(a_source)) = 'clima' then 'clima' else 'noticias' end as kind,

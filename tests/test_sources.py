@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from harborline.functions.calendar import moment
 from harborline.operators import fleet, quality
 from harborline.session import as_array, fits_broadcast, per_key, small
-from harborline.sources import readers, writers
+from harborline.sources import readers, tables, writers
 from harborline.sources.master import TABLE_NAMES, all_masters, master, waypoint_rows
 
 
@@ -57,7 +57,7 @@ def test_tables_and_named_results(spark, database):
     assert readers.named_result(spark, "routes", name).count() == 6
     assert {r.tableName for r in writers.list_tables(spark, name).collect()} >= {"dim_ports", "dim_routes"}
     assert name in {r[0] for r in writers.list_databases(spark).collect()}
-    assert len(list((base / "dim_ports").glob("*.parquet"))) == 1
+    assert len(list((base / "dim_ports").glob("version=*/*.parquet"))) == 1
     counts = {r.table_name: r.row_count for r in quality.catalog_counts(spark, name, ["dim_ports", "dim_missing"]).collect()}
     assert counts == {"dim_ports": 5, "dim_missing": None}
 
@@ -90,8 +90,9 @@ def test_serving_rows_and_recent_query(spark, tmp_path):
     df = spark.createDataFrame([("Algeciras", "MEDIO", 2.75, 4, "plan", False)],
                                "dest_port string, risk_level string, risk_score double, severity int, recommendation string, email_sent boolean")
     for day in ("2026-03-25", "2026-03-27"):
-        writers.append_serving_rows(df, "route_alerts", path, F.lit(day).cast("timestamp"))
-    rows = spark.read.parquet(path)
+        writers.append_serving_rows(df, "route_alerts", path, day, F.lit(day).cast("timestamp"))
+        writers.append_serving_rows(df, "route_alerts", path, day, F.lit(day).cast("timestamp"))
+    rows = tables.appended(spark, path)
     assert rows.count() == 2 and rows.select("alert_id").distinct().count() == 2
     recent = readers.recent_rows(rows, "created_at", F.lit("2026-03-27 12:00:00").cast("timestamp"), hours=24).collect()
     assert [r.created_at for r in recent] == [dt.datetime(2026, 3, 27)]
@@ -109,9 +110,9 @@ def test_old_versions_are_dropped(spark, tmp_path):
     rows = spark.createDataFrame([("s", 1)], "ship_id string, event_ts int")
     for version in range(4):
         writers.upsert_latest(rows.withColumn("event_ts", F.lit(version)), base, version, ["ship_id"], "event_ts")
-    writers.drop_old_versions(spark, base, keep=2)
-    assert writers.complete_versions(spark, base) == [2, 3]
-    assert writers.read_latest_version(spark, base).first().event_ts == 3
+    tables.drop_old_versions(spark, base, keep=2)
+    assert tables.complete_versions(spark, base) == [2, 3]
+    assert tables.read_latest_version(spark, base).first().event_ts == 3
 
 
 def test_bundle_reports_errors_and_keeps_the_last_good_version(spark, tmp_path):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harborline import schemas
 from harborline.operators import staging
 from harborline.sources.readers import message_stream
-from harborline.sources.writers import complete_versions, read_latest_version
+from harborline.sources.tables import complete_versions, read_latest_version
 from harborline.streaming import queries, windows
 from tests.conftest import as_lines, position
 
@@ -192,7 +192,7 @@ def test_a_failing_query_stops_the_other(spark, tmp_path):
 
 
 def test_a_new_checkpoint_keeps_what_was_written_before(spark, tmp_path):
-    from harborline.sources.writers import complete_versions, read_latest_version, version_for
+    from harborline.sources.tables import complete_versions, read_latest_version, version_for
 
     base = str(tmp_path / "out")
     for version, (ship, hour) in enumerate((("s1", 10), ("s9", 20)), start=1):
