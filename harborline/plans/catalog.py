@@ -248,6 +248,30 @@ def graph_safest(d: Domain) -> DataFrame:
     return _rounded(graph.cheapest_paths(edges, START_NODE, "safety_cost"), "cost")
 
 
+@query
+def graph_route_nodes(d: Domain) -> DataFrame:
+    """Every stop of the fastest route to every node."""
+    routes = graph.route_nodes(graph.cheapest_paths(d.trade_edges, START_NODE))
+    return routes.select("node_id", F.posexplode("route").alias("stop", "place"))
+
+
+@query
+def graph_time_against_risk(d: Domain) -> DataFrame:
+    """All times and risks from Shanghai that no other route beats in both: sea legs, inland legs and customer links."""
+    inland = network.network_edges(d.sea_edges, extra=network.customer_links(d.dim("dim_customer_links"))).join(
+        d.sea_edges.select("src", "dst"), ["src", "dst"], "left_anti").withColumn("risk", F.lit(0.0))
+    # A faster ship takes more risk: two offers for every sea leg.
+    calm = d.sea_edges.withColumn("risk", F.lit(1.0))
+    fast = d.sea_edges.select("src", "dst", (F.col("weight") * F.lit(0.75)).alias("weight"), F.lit(2.5).alias("risk"))
+    return _rounded(graph.pareto_paths(calm.unionByName(fast).unionByName(inland), "Shanghai"), "first", "second")
+
+
+@query
+def graph_communities(d: Domain) -> DataFrame:
+    """Groups of nations, suppliers and customers that trade with each other most."""
+    return graph.communities(d.trade_edges, d.trade_nodes)
+
+
 @query
 def graph_dynamic_weights(d: Domain) -> DataFrame:
     weight = network.dynamic_weight(F.col("weight") / F.lit(24.0), F.lit(1.0) - F.col("risk"), F.lit(8.0))

@@ -40,7 +40,7 @@ def test_hops(spark, random_graph):
                 if m not in dist:
                     dist[m] = dist[n] + 1
                     queue.append(m)
-        got = {r.node_id: r.hops for r in graph.hops(e, v, "n03", direction, hub_rows=4).collect()}
+        got = {r.node_id: r.hops for r in graph.hops(e, v, "n03", direction, spread=12).collect()}
         assert got == {n: dist.get(n) for n in nodes}
 
 
@@ -63,7 +63,7 @@ def test_cheapest_paths(spark, random_graph):
                 offer = (best[a][0] + w, best[a][1] + 1)
                 if b not in best or offer < best[b]:
                     best[b] = offer
-    rows = {r.node_id: r for r in graph.cheapest_paths(e, "n00", hub_rows=3).collect()}
+    rows = {r.node_id: r for r in graph.cheapest_paths(e, "n00", spread=20).collect()}
     assert {n: (r.cost, r.hops) for n, r in rows.items()} == best
     weights = {}
     for a, b, w in edges:
@@ -91,7 +91,7 @@ def test_pagerank(spark, random_graph):
     for a, b, _ in edges:
         out.setdefault(a, []).append(b)
     change = 1.0
-    while change > 1e-9:
+    while change > 1e-15:
         idle = sum(r for n, r in rank.items() if n not in out)
         new = {n: 0.15 / len(nodes) + 0.85 * idle / len(nodes) for n in nodes}
         for a, targets in out.items():
@@ -99,7 +99,7 @@ def test_pagerank(spark, random_graph):
                 new[b] += 0.85 * rank[a] / len(targets)
         change = sum(abs(new[n] - rank[n]) for n in nodes)
         rank = new
-    got = {r.node_id: r.pagerank for r in graph.pagerank(e, v, hub_rows=3).collect()}
+    got = {r.node_id: r.pagerank for r in graph.pagerank(e, v, 1e-13, spread=20).collect()}
     assert got == pytest.approx(rank, abs=1e-12)
     assert sum(got.values()) == pytest.approx(1.0)
 
@@ -142,7 +142,7 @@ def test_components_of_a_chain_and_a_star(spark):
 def test_components_with_a_hub(spark):
     star = [("n50", f"n{i:02d}") for i in range(100) if i != 50]
     v, e = frames(spark, [f"n{i:02d}" for i in range(100)], [(a, b, 1.0) for a, b in star])
-    assert {r.component for r in graph.components(e, v, hub_rows=20).collect()} == {"n00"}
+    assert {r.component for r in graph.components(e, v).collect()} == {"n00"}
 
 
 def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
@@ -151,9 +151,9 @@ def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
     links = e.select(F.col("src").alias("node_id"), F.col("dst").alias("next"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for hub_rows in (3, 1000):
-            with graph._placed(links, hub_rows) as placed:
-                assert (placed.hubs is None) == (hub_rows == 1000)
+        for spread in (20, 1):
+            with graph._placed(links, spread) as placed:
+                assert placed.hubs.isEmpty() == (spread == 1)
                 joined = placed.expand(links.select("node_id").distinct())
                 assert joined.count() == len(edges)
                 joined.collect()
@@ -165,6 +165,84 @@ def test_edges_are_not_shuffled_again_in_a_round(spark, random_graph):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_routes_of_a_long_chain_and_of_a_random_graph(spark, random_graph):
+    chain = [(f"c{i:02d}", f"c{i + 1:02d}", 1.0) for i in range(40)]
+    _, e = frames(spark, [], chain)
+    routes = {r.node_id: r.route for r in graph.route_nodes(graph.cheapest_paths(e, "c00")).collect()}
+    assert routes["c40"] == [f"c{i:02d}" for i in range(41)] and routes["c00"] == ["c00"]
+    _, e = frames(spark, *random_graph)
+    paths = graph.cheapest_paths(e, "n00")
+    before, cost = ({r.node_id: r[c] for r in paths.collect()} for c in ("previous", "cost"))
+    least = {}
+    for a, b, w in random_graph[1]:
+        least[a, b] = min(w, least.get((a, b), w))
+    for r in graph.route_nodes(paths).collect():
+        assert r.route[-1] == r.node_id and r.route[0] == "n00"
+        assert [before[n] for n in r.route[1:]] == r.route[:-1]
+        assert sum(least[p] for p in zip(r.route, r.route[1:])) == pytest.approx(cost[r.node_id])
+
+
+def test_pareto_fronts_equal_brute_force(spark):
+    rng = random.Random(3)
+    nodes = [f"n{i}" for i in range(7)]
+    times = [rng.randint(1, 9) for _ in range(18)]  # what is fast has more risk
+    edges = [(*rng.sample(nodes, 2), float(t), float(10 - t + t % 2)) for t in times] + [("n0", "n1", 2.0, 2.0)] * 2
+    sums = {n: set() for n in nodes}
+
+    def walk(at, seen, first, second):
+        sums[at].add((first, second))
+        for a, b, w, r in edges:
+            if a == at and b not in seen:
+                walk(b, seen | {b}, first + w, second + r)
+
+    walk("n0", {"n0"}, 0.0, 0.0)
+    want = {(n, *x) for n, all_ in sums.items() for x in all_ if not any(y != x and y[0] <= x[0] and y[1] <= x[1] for y in all_)}
+    e = spark.createDataFrame(edges, "src string, dst string, weight double, risk double")
+    got = graph.pareto_paths(e, "n0", spread=20).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) > len({r.node_id for r in got})
+
+
+def plain_communities(nodes, edges):
+    import hashlib
+
+    weight = {}
+    for a, b, w in edges:
+        if a != b:
+            for p in ((a, b), (b, a)):
+                weight[p] = weight.get(p, 0) + w
+    label, number = {n: n for n in nodes}, 0
+    while True:
+        wants = {}
+        for n in nodes:
+            by = {}
+            for (a, b), w in weight.items():
+                if a == n:
+                    by[label[b]] = by.get(label[b], 0) + w
+            if by:
+                w, best = min((-round(w, 6), k) for k, w in by.items())
+                if -w > round(by.get(label[n], 0), 6):
+                    wants[n] = best
+        if not wants:
+            return label
+        turn = {n: (hashlib.md5(f"{number}:{n}".encode()).hexdigest(), n) for n in wants}
+        moves = [n for n in wants if all(turn[n] > turn[b] for a, b in weight if a == n and b in wants)]
+        for n in moves:
+            label[n] = wants[n]
+        number += 1
+
+
+def test_communities_equal_brute_force_and_find_planted_groups(spark, random_graph):
+    v, e = frames(spark, *random_graph)
+    assert {r.node_id: r.community for r in graph.communities(e, v).collect()} == plain_communities(*random_graph)
+    rng = random.Random(9)
+    nodes = [f"g{g}n{i:02d}" for g in range(4) for i in range(15)]
+    inside = [(a, b, 1.0 + rng.random()) for a in nodes for b in nodes if a < b and a[:2] == b[:2] and rng.random() < 0.6]
+    between = [(*rng.sample(nodes, 2), 0.1) for _ in range(20)]
+    v, e = frames(spark, nodes, inside + between)
+    got = {r.node_id: r.community for r in graph.communities(e, v).collect()}
+    assert all(len({got[n] for n in nodes if n[:2] == f"g{g}"}) == 1 for g in range(4)) and len(set(got.values())) == 4
+
+
 def test_unknown_direction(spark, random_graph):
     v, e = frames(spark, *random_graph)
     with pytest.raises(ValueError):
