@@ -338,36 +338,3 @@ def pareto_paths(edges: DataFrame, source: str, first: str = "weight", second: s
             front, new = both.select(*labels), both.filter("offered = 1").select(*labels)
             if new.isEmpty():
                 return front
-
-
-def communities(edges: DataFrame, vertices: DataFrame, weight: str = "weight") -> DataFrame:
-    """``node_id, community``: groups of nodes that are linked more to their own group than to any other, by weighted label propagation.
-
-    Edge direction does not count, and parallel edges add up. A node wants the label with the most weight among its neighbours,
-    the smallest of equal ones, if that has more weight than the label it has. Of neighbours that want to change, the one
-    with the greatest hash for the round does. Each change adds to the weight within groups, so the rounds come to an end, and
-    the result does not depend on the order of rows.
-    """
-    ends = edges.filter((F.col("src") != F.col("dst")) & F.col(weight).isNotNull())
-    one = ends.select(F.col("src").alias("node_id"), F.col("dst").alias("next"), F.col(weight).alias("w"))
-    two = ends.select(F.col("dst").alias("node_id"), F.col("src").alias("next"), F.col(weight).alias("w"))
-    links = one.unionByName(two).groupBy("node_id", "next").agg(F.sum("w").alias("w"))
-    with _placed(links) as placed:
-        label = cut_lineage(vertices.select(F.col("id").alias("node_id"), F.col("id").alias("label")).distinct())
-        number = 0
-        while True:
-            offers = (
-                placed.expand(label).groupBy(F.col("next").alias("node_id"), F.col("label").alias("offer")).agg(F.round(F.sum("w"), 6).alias("w"))
-                .join(label, "node_id")
-            )
-            own = F.max(F.when(F.col("offer") == F.col("label"), F.col("w")).otherwise(0.0)).alias("own")
-            best = F.min(F.struct((-F.col("w")).alias("minus"), "offer")).alias("best")
-            wants = offers.groupBy("node_id").agg(own, best).filter(-F.col("best.minus") > F.col("own"))
-            turn = F.struct(F.md5(F.concat_ws(":", F.lit(str(number)), "node_id")).alias("hash"), "node_id")
-            wants = cut_lineage(wants.select("node_id", F.col("best.offer").alias("wanted"), turn.alias("turn")))
-            if wants.isEmpty():
-                return label.select("node_id", F.col("label").alias("community"))
-            rivals = placed.expand(wants.select("node_id", "turn")).groupBy(F.col("next").alias("node_id")).agg(F.max("turn").alias("rival"))
-            moves = wants.join(rivals, "node_id", "left").filter(F.col("rival").isNull() | (F.col("turn") > F.col("rival"))).select("node_id", "wanted")
-            label = cut_lineage(label.join(moves, "node_id", "left").select("node_id", F.coalesce("wanted", "label").alias("label")))
-            number += 1

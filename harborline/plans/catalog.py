@@ -266,12 +266,6 @@ def graph_time_against_risk(d: Domain) -> DataFrame:
     return _rounded(graph.pareto_paths(calm.unionByName(fast).unionByName(inland), "Shanghai"), "first", "second")
 
 
-@query
-def graph_communities(d: Domain) -> DataFrame:
-    """Groups of nations, suppliers and customers that trade with each other most."""
-    return graph.communities(d.trade_edges, d.trade_nodes)
-
-
 @query
 def graph_dynamic_weights(d: Domain) -> DataFrame:
     weight = network.dynamic_weight(F.col("weight") / F.lit(24.0), F.lit(1.0) - F.col("risk"), F.lit(8.0))

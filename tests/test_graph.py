@@ -202,47 +202,6 @@ def test_pareto_fronts_equal_brute_force(spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want) > len({r.node_id for r in got})
 
 
-def plain_communities(nodes, edges):
-    import hashlib
-
-    weight = {}
-    for a, b, w in edges:
-        if a != b:
-            for p in ((a, b), (b, a)):
-                weight[p] = weight.get(p, 0) + w
-    label, number = {n: n for n in nodes}, 0
-    while True:
-        wants = {}
-        for n in nodes:
-            by = {}
-            for (a, b), w in weight.items():
-                if a == n:
-                    by[label[b]] = by.get(label[b], 0) + w
-            if by:
-                w, best = min((-round(w, 6), k) for k, w in by.items())
-                if -w > round(by.get(label[n], 0), 6):
-                    wants[n] = best
-        if not wants:
-            return label
-        turn = {n: (hashlib.md5(f"{number}:{n}".encode()).hexdigest(), n) for n in wants}
-        moves = [n for n in wants if all(turn[n] > turn[b] for a, b in weight if a == n and b in wants)]
-        for n in moves:
-            label[n] = wants[n]
-        number += 1
-
-
-def test_communities_equal_brute_force_and_find_planted_groups(spark, random_graph):
-    v, e = frames(spark, *random_graph)
-    assert {r.node_id: r.community for r in graph.communities(e, v).collect()} == plain_communities(*random_graph)
-    rng = random.Random(9)
-    nodes = [f"g{g}n{i:02d}" for g in range(4) for i in range(15)]
-    inside = [(a, b, 1.0 + rng.random()) for a in nodes for b in nodes if a < b and a[:2] == b[:2] and rng.random() < 0.6]
-    between = [(*rng.sample(nodes, 2), 0.1) for _ in range(20)]
-    v, e = frames(spark, nodes, inside + between)
-    got = {r.node_id: r.community for r in graph.communities(e, v).collect()}
-    assert all(len({got[n] for n in nodes if n[:2] == f"g{g}"}) == 1 for g in range(4)) and len(set(got.values())) == 4
-
-
 def test_unknown_direction(spark, random_graph):
     v, e = frames(spark, *random_graph)
     with pytest.raises(ValueError):
