@@ -9,6 +9,7 @@ from harborline.functions.bands import label
 from harborline.functions.columns import stable_key
 from harborline.functions.ranking import first_per
 from harborline.session import per_key
+from harborline.sources.writers import serving_rows
 
 # Fixed values.
 ALERT_SOURCE = "operativa_graph_stock"
@@ -117,6 +118,13 @@ def route_outbox(alerts: DataFrame, created_at: Column) -> DataFrame:
     )
 
 
+def route_alerts(alerts: DataFrame, ports: DataFrame, created_at: Column) -> DataFrame:
+    """Serving rows: the worst alert of every port, from severity 3 on, one per port and run."""
+    worst = worst_by_port(alerts, ports).filter(F.col("severity") >= OUTBOX_MIN_SEVERITY)
+    return serving_rows(
+        worst.withColumnRenamed("via_port", "dest_port").withColumn("email_sent", F.lit(False)), "route_alerts", created_at)
+
+
 def critical_reference_outbox(articles: DataFrame) -> DataFrame:
     """Articles at or below safety stock, with the class of their row in the message."""
     at_risk = F.col("total_stock_pieces") <= F.col("safety_stock_min")

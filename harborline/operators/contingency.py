@@ -279,6 +279,43 @@ def flight_verdicts(flights: DataFrame, as_of: Column, rupture_days: int = RUPTU
     )
 
 
+def _listed_flights(context: DataFrame, flights: DataFrame, as_of: Column) -> DataFrame:
+    """Articles with their rupture time and the flight list, cheapest first, as one array value per row."""
+    return context.select(
+        "article_ref", add_hours(as_of, F.coalesce("hours_to_stockout", F.lit(0.0))).alias("_rupture"),
+        as_array(flights, "flight_cost_eur", "flight_eta_hours", "flight_number").alias("_flights"),
+    )
+
+
+def article_flights(context: DataFrame, flights: DataFrame, as_of: Column) -> DataFrame:
+    """Verdict on every flight of the list for every article, against the article's own rupture time.
+
+    ``context`` has ``hours_to_stockout`` per article; without that figure the article counts as out of stock. A
+    flight that lands before the rupture is optimal when no flight of the list costs less, late ones included.
+    """
+    arrives = add_hours(as_of, F.col("_f.flight_eta_hours")) < F.col("_rupture")
+    cheapest = F.col("_f.flight_cost_eur") == F.col("_lowest")
+    return (
+        _listed_flights(context, flights, as_of)
+        .withColumn("_lowest", F.element_at("_flights", 1)["flight_cost_eur"])
+        .withColumn("_f", F.explode("_flights"))
+        .select(
+            "article_ref", "_f.flight_number", "_f.airport", "_f.flight_cost_eur", "_f.flight_eta_hours",
+            minute_text(F.col("_rupture")).alias("stock_rupture_date"),
+            F.when(arrives & cheapest, "ÓPTIMA").when(arrives, "VIABLE").otherwise("NO LLEGA").alias("recommendation"),
+        )
+    )
+
+
+def article_best_flight(context: DataFrame, flights: DataFrame, as_of: Column) -> DataFrame:
+    """The cheapest flight that lands before the article's rupture, the fastest of equals; nulls where none does."""
+    in_time = F.filter("_flights", lambda f: add_hours(as_of, f["flight_eta_hours"]) < F.col("_rupture"))
+    return _listed_flights(context, flights, as_of).withColumn("_f", F.get(in_time, F.lit(0))).select(
+        "article_ref", minute_text(F.col("_rupture")).alias("stock_rupture_date"), "_f.flight_number", "_f.airport",
+        "_f.flight_cost_eur", "_f.flight_eta_hours", F.size(in_time).alias("flights_in_time"),
+    )
+
+
 def cheapest_viable(verdicts: DataFrame) -> DataFrame:
     """The best flight that arrives in time."""
     viable = verdicts.filter(F.col("recommendation") != "NO LLEGA")

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from harborline.functions.bands import node_state
 from harborline.functions.columns import pseudo_stock
-from harborline.operators import alerts, contingency, fleet, graph, kpis, models, network, quality, staging, stock
+from harborline.operators import alerts, contingency, fleet, graph, kpis, models, network, outcomes, quality, staging, stock
 from harborline.operators.weather import OPERATIONAL_COLUMNS
 from harborline.plans import adapters, microbatch
-from harborline.plans.domain import FLEET_AS_OF, Domain
+from harborline.plans.domain import FLEET_AS_OF, ORDERS_AS_OF, Domain
 from harborline.session import cut_lineage, shared_dir
 from harborline.sources.readers import message_stream, recent_rows
-from harborline.sources.tables import appended
+from harborline.sources.tables import appended, replace_rows
+from harborline.sources.writers import append_serving_rows
 from harborline.streaming import queries as streams
 from harborline.streaming import state, windows
 
@@ -333,6 +334,15 @@ def route_alert_outbox(d: Domain) -> DataFrame:
     return _rounded(alerts.route_outbox(d.fact_alerts, d.fleet_as_of).drop("alert_id"), "risk_score")
 
 
+@query
+def route_alerts(d: Domain) -> DataFrame:
+    """The serving table of route alerts after two runs of one batch."""
+    rows, out = alerts.route_alerts(d.fact_alerts, d.ports, d.fleet_as_of), _run_folder(d, "route_alerts")
+    for _ in range(2):
+        append_serving_rows(rows, "route_alerts", f"{out}/table", "run", d.fleet_as_of)
+    return _rounded(appended(d.spark, f"{out}/table"), "risk_score").withColumns(_ntz("created_at"))
+
+
 @query
 def critical_reference_outbox(d: Domain) -> DataFrame:
     return alerts.critical_reference_outbox(d.articles)
@@ -400,6 +410,17 @@ def flight_verdict(d: Domain) -> DataFrame:
     return contingency.flight_verdicts(_flights(d), d.fleet_as_of)
 
 
+@query
+def article_flight_verdicts(d: Domain) -> DataFrame:
+    """Every flight of the list against the rupture of every article."""
+    return contingency.article_flights(d.stock_context, d.dim("dim_flights"), d.orders_as_of)
+
+
+@query
+def article_best_flight(d: Domain) -> DataFrame:
+    return contingency.article_best_flight(d.stock_context, d.dim("dim_flights"), d.orders_as_of)
+
+
 @query
 def best_flight(d: Domain) -> DataFrame:
     flights = _flights(d)
@@ -487,6 +508,22 @@ def stock_horizon_worst(d: Domain) -> DataFrame:
     return stock.horizon_mode(d.horizon, mode="worst")
 
 
+@query
+def scheduled_stock_horizon(d: Domain) -> DataFrame:
+    """The horizon as the scheduled run writes it, from its own tables of articles, orders and recovery options."""
+    out = _run_folder(d, "scheduled_stock_horizon")
+    run = microbatch.Run(d.spark, f"{out}/raw", f"{out}/tables", ORDERS_AS_OF)
+    plan = adapters.article_plan(d.table("lineitem"), d.table("orders"))
+    inputs = {
+        "dim_articles_valladolid": d.articles, "fact_customer_orders_douai": d.orders, "fact_article_gantt": plan,
+        "fact_air_recovery_options": d.best_air, "dim_ports": d.ports, "dim_flights": d.dim("dim_flights"),
+    }
+    for name, rows in inputs.items():
+        replace_rows(rows, run.path(name))
+    microbatch.order_facts(run)
+    return run.read("fact_stock_horizon")
+
+
 @query
 def stock_rupture_timeline(d: Domain) -> DataFrame:
     return stock.rupture_timeline(d.stock_context, d.best_air_by_port, d.orders_as_of)
@@ -719,3 +756,28 @@ def ml_rupture_forest(d: Domain) -> DataFrame:
 def ml_port_kmeans(d: Domain) -> DataFrame:
     _, clustered = models.fit_ports(models.port_features(d.latest, d.weather))
     return clustered.select("port_name", *models.PORT_FEATURES, "cluster_name")
+
+
+def _known(d: Domain) -> DataFrame:
+    return outcomes.known_at(d.ships, d.weather, d.ports)
+
+
+@query
+def ml_outcome_rows(d: Domain) -> DataFrame:
+    """Model rows: what was known at every fix, and the ship's next arrival after it."""
+    return outcomes.with_outcomes(_known(d))
+
+
+@query
+def ml_arrival_errors(d: Domain) -> DataFrame:
+    """Held-out errors of the arrival regression beside two naive predictors."""
+    fitted = outcomes.fit_arrival(cut_lineage(outcomes.with_outcomes(_known(d))))
+    if fitted is None:
+        raise ValueError("no fix with a later arrival to fit on")
+    return outcomes.held_out_errors(fitted[1])
+
+
+@query
+def ml_predictions(d: Domain) -> DataFrame:
+    """The serving table of predictions: one row per ship."""
+    return outcomes.predictions(_known(d), d.fleet_as_of).withColumns(_ntz("created_at"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from harborline import schemas
 from harborline.functions.calendar import moment
-from harborline.operators import alerts, contingency, fleet, graph, network, staging, weather
+from harborline.operators import alerts, contingency, fleet, graph, network, outcomes, staging, stock, weather
 from harborline.plans import incremental
 from harborline.sources import tables, writers
 from harborline.sources.master import TABLE_NAMES, master
@@ -123,6 +123,29 @@ def latest_state(run: Run) -> None:
     run.write(writers.conform(state, "vehicle_latest_state"), "vehicle_latest_state")
 
 
+def order_facts(run: Run) -> None:
+    """Stock left after orders, coverage of every order, the ten-week horizon, the transport plan and a flight per article."""
+    now, articles, orders = moment(run.as_of), run.read("dim_articles_valladolid"), run.read("fact_customer_orders_douai")
+    run.write(stock.stock_context(articles, stock.order_totals(orders)), "fact_stock_context")
+    context = run.read("fact_stock_context")
+    by_port = contingency.best_by_port(run.read("fact_air_recovery_options"), run.read("dim_ports"))
+    run.write(stock.orders_coverage(orders, context, by_port, now), "fact_orders_coverage")
+    run.write(stock.stock_horizon(articles, run.read("fact_orders_coverage")), "fact_stock_horizon")
+    run.write(stock.article_plan(run.read("fact_article_gantt")), "fact_article_plan")
+    run.write(contingency.article_best_flight(context, run.read("dim_flights"), now), "fact_article_flights")
+
+
+def serving_facts(run: Run) -> None:
+    """Route alerts and model predictions of this run, appended to their serving tables; the same run again adds nothing twice."""
+    now, token = moment(run.as_of), "".join(c for c in run.as_of if c.isdigit())
+    worst = alerts.route_alerts(run.read("fact_alerts"), run.read("dim_ports"), now)
+    writers.append_serving_rows(worst, "route_alerts", run.path("route_alerts"), token, now)
+    ships = run.read("stg_ships").drop("ts").withColumnRenamed("ts_utc", "ts")
+    fixes = ships.withColumn("event_id", F.xxhash64("ship_id", "ts"))
+    known = outcomes.known_at(fixes, run.read("stg_weather_open_meteo"), run.read("dim_ports"))
+    writers.append_serving_rows(outcomes.predictions(known, now), "ml_predictions", run.path("ml_predictions"), token, now)
+
+
 def bundle_sections(run: Run) -> dict[str, Callable[[], DataFrame]]:
     """The named results of the serving layer, ordered and cut the way readers expect them."""
     def ordered(name: str, *order, limit: int | None = None) -> Callable[[], DataFrame]:
@@ -148,6 +171,9 @@ def bundle_sections(run: Run) -> dict[str, Callable[[], DataFrame]]:
         "fact_weather_operational": ordered("fact_weather_operational", F.col("event_ts").desc(), limit=20),
         "fact_air_recovery_options": ordered("fact_air_recovery_options", F.col("time_saved_hours").desc_nulls_last(), "ship_id", limit=20),
         "air_routes": air_routes,
+        "stock_horizon": ordered("fact_stock_horizon", "article_ref", "industrial_week"),
+        "orders_coverage": ordered("fact_orders_coverage", "industrial_week", "order_id"),
+        "article_flights": ordered("fact_article_flights", "article_ref"),
         "graph_centrality": lambda: graph.top_nodes(run.read("fact_graph_centrality")),
     }
 
@@ -168,4 +194,6 @@ def run_all(run: Run, snapshots: DataFrame) -> DataFrame:
     alert_facts(run)
     recovery_facts(run)
     latest_state(run)
+    order_facts(run)
+    serving_facts(run)
     return serve_bundle(run)

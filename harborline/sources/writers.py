@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.columns import stable_key
@@ -98,6 +98,17 @@ def plain_json_types(df: DataFrame) -> DataFrame:
     )
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write the rows and return how many they were, counted in the write job itself instead of by a second scan.
+
+    A task that ran again after an executor was lost may be counted twice: right for reports and for telling
+    whether there are rows at all, not for balances.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
 def write_bundle(spark: SparkSession, sections: Mapping[str, Callable[[], DataFrame]], base: str, version: int,
                  key_sections: Sequence[str] = BUNDLE_KEY_SECTIONS) -> DataFrame:
     """Write every named result as JSON and report one status row per section.
@@ -110,13 +121,12 @@ def write_bundle(spark: SparkSession, sections: Mapping[str, Callable[[], DataFr
     filled = False
     for name, build in sections.items():
         try:
-            plain_json_types(build()).write.mode("overwrite").json(f"{target}/{name}")
-            has_rows = not spark.read.text(f"{target}/{name}").isEmpty()
-            filled = filled or (has_rows and name in key_sections)
-            status.append((name, "ok" if has_rows else "empty", None))
+            rows = write_counted(plain_json_types(build()), lambda df: df.write.mode("overwrite").json(f"{target}/{name}"))
+            filled = filled or (rows > 0 and name in key_sections)
+            status.append((name, "ok" if rows else "empty", None, rows))
         except Exception as error:  # one broken section must not hide the other ones
-            status.append((name, "error", str(error).splitlines()[0]))
-    report = spark.createDataFrame(status, "section string, status string, error string")
+            status.append((name, "error", str(error).splitlines()[0], None))
+    report = spark.createDataFrame(status, "section string, status string, error string, rows long")
     if filled:
         # The marker of a publishable version is written last.
         report.coalesce(1).write.mode("overwrite").json(f"{base}/published/version={version:012d}")

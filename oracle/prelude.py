@@ -37,6 +37,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         [(i, n, h) for i, (n, h) in enumerate(m.INCIDENT_HOURS.items())], "pos, incident, extra_hours")),
     "trucks": ([], _values(m.TRUCKS, "route, carrier, license_plate, truck_cost_eur, truck_eta_hours")),
     "last_mile": ([], _values(m.LAST_MILE, '"option", truck_cost_eur, truck_hours')),
+    "flight_list": ([], _values(m.FLIGHTS, "airport, airline, flight_number, flight_cost_eur, flight_eta_hours")),
     "ship_names": ([], _values(list(m.SHIP_NAMES.items()), "ship_id, ship_name")),
 
     "ev": ([], "select *, cast(json_extract_string(props, '$.k') as int) as k from events"),
@@ -249,6 +250,22 @@ CTES: dict[str, tuple[list[str], str]] = {
           case when s.stocks[f.pos] <= f.safety_stock_min then 'NO CUBRE'
             when s.stocks[f.pos] <= f.safety_stock_min + f.weekly then 'ALERTA' else 'CUBRE' end as cover_status
         from flows f join steps s using (article_ref)"""),
+    "article_flights": (["stock_ctx", "flight_list"], f"""
+        select article_ref, flight_number, airport, flight_cost_eur, flight_eta_hours, strftime(rupture, '%Y-%m-%d %H:%M') as stock_rupture_date,
+          {ORDERS} + to_seconds(cast(round(flight_eta_hours * 3600) as bigint)) < rupture as in_time
+        from (select article_ref, {ORDERS} + to_seconds(cast(round(hours_to_stockout * 3600) as bigint)) as rupture from stock_ctx)
+        cross join flight_list"""),
+    "known_at": (["ships", "ports", "weather"], """
+        select event_id, ship_id, route_id, dest_port, ts, remaining_km, remaining_share, speed_kn,
+          round(remaining_km / (speed_kn * 1.852::double), 6) as planned_hours, coalesce(w.wind_speed_kmh, 0.0::double) as wind_speed_kmh,
+          coalesce(w.severity, 1) as weather_severity, w.port_ref is not null as has_weather
+        from (select s.*, round(left_km, 6) as remaining_km, round(left_km / whole_km, 6) as remaining_share
+          from (select s.*, sqrt(power((d.lat - s.lat) * 111.32::double, 2) + power((d.lon - s.lon) * 111.32::double, 2)) as left_km,
+              sqrt(power((d.lat - o.lat) * 111.32::double, 2) + power((d.lon - o.lon) * 111.32::double, 2)) as whole_km
+            from ships s left join ports o on o.port_name = s.origin_port left join ports d on d.port_name = s.dest_port) s) f
+        asof left join (select port_ref, event_ts, wind_speed_kmh, severity from weather
+            qualify row_number() over (partition by port_ref, event_ts order by severity desc, wind_speed_kmh desc) = 1) w
+          on w.port_ref = f.dest_port and f.ts >= w.event_ts"""),
     "trade_edges": ([], """
         select 'S' || l_suppkey as src, 'C' || o_custkey as dst, round(avg(l_quantity), 6) as weight,
           round(avg(case when l_returnflag = 'R' then 1.0::double else 0.0::double end), 6) as risk

@@ -250,6 +250,10 @@ def _network() -> dict[str, str]:
 
 def _alerts() -> dict[str, str]:
     return {
+        "route_alerts": with_ctes(f"""
+            select sha256(via_port || chr(31) || '2024-02-01 00:00:00') as alert_id, via_port as dest_port, risk_level, round(risk_score, 6) as risk_score,
+              severity, recommendation, false as email_sent, {FLEET} as created_at
+            from worst_alerts where severity >= 3""", "worst_alerts"),
         "alerts_by_region": with_ctes("select region, source, count(*) as alerts from alerts group by all", "alerts"),
         "alert_type_mix": with_ctes("select text as alert_type, count(*) as count from alerts group by 1", "alerts"),
         "fact_alerts": with_ctes(ALERT_ROUNDED, "fact_alerts"),
@@ -317,6 +321,17 @@ def _contingency() -> dict[str, str]:
         "best_flight": with_ctes(
             f"select flight_cost_eur, flight_eta_hours, recommendation from ({verdicts}) where recommendation <> 'NO LLEGA' "
             "order by flight_cost_eur, flight_eta_hours limit 1", "air_options"),
+        "article_flight_verdicts": with_ctes("""
+            select * exclude (in_time), case when not in_time then 'NO LLEGA'
+              when flight_cost_eur = (select min(flight_cost_eur) from flight_list) then 'ÓPTIMA' else 'VIABLE' end as recommendation
+            from article_flights""", "article_flights"),
+        "article_best_flight": with_ctes("""
+            select a.article_ref, a.stock_rupture_date, f.flight_number, f.airport, f.flight_cost_eur, f.flight_eta_hours, a.flights_in_time
+            from (select article_ref, any_value(stock_rupture_date) as stock_rupture_date, cast(count(*) filter (where in_time) as int) as flights_in_time
+              from article_flights group by 1) a
+            left join (select * from article_flights where in_time
+              qualify row_number() over (partition by article_ref order by flight_cost_eur, flight_eta_hours, flight_number) = 1) f using (article_ref)
+            """, "article_flights"),
         "last_mile_options": with_ctes(f"""
             select ship_id, air_option_id, "option", round(cost + truck_cost_eur, 2) as total_cost_eur, round(eta + truck_hours, 1) as total_eta_hours,
               truck_cost_eur = (select min(truck_cost_eur) from last_mile) as is_cheapest, round(cost + truck_cost_eur, 2) > 15000 as high_cost
@@ -380,6 +395,7 @@ def _stock() -> dict[str, str]:
               round(cast(sum(total_stock_pieces) as double) * 100.0::double / 10000, 2) as capacity_used_pct from articles)""", "articles"),
         "orders_coverage": with_ctes("select * from coverage", "coverage"),
         "stock_horizon": with_ctes("select * from horizon", "horizon"),
+        "scheduled_stock_horizon": with_ctes("select * from horizon", "horizon"),
         "stock_horizon_mode": with_ctes(
             status.format(pick="arg_min(cover_status, industrial_week) filter (where cover_status <> 'CUBRE')"), "horizon"),
         "stock_horizon_worst": with_ctes(
@@ -446,6 +462,12 @@ def _indicators() -> dict[str, str]:
             select *, 95.0::double as target_pct, case when otif_pct >= 95 then 'OPTIMO' else 'RIESGO' end as status
             from (select customer_city, round(avg(case when order_status = 'sea_committed' then 1.0::double else 0.0::double end) * 100, 1) as otif_pct,
               count(*) as orders from customer_orders group by 1)""", "customer_orders"),
+        "ml_outcome_rows": with_ctes("""
+            select f.*, round((epoch_us(a.ts) - epoch_us(f.ts)) / 3.6e9::double, 6) as hours_to_arrival,
+              round((epoch_us(a.ts) - epoch_us(f.ts)) / 3.6e9::double, 6) > f.planned_hours as late
+            from (select * from known_at where remaining_share > 0.05) f
+            asof left join (select ship_id, ts from known_at where remaining_share <= 0.05) a on a.ship_id = f.ship_id and f.ts < a.ts
+            """, "known_at"),
         "windowed_ship_metrics": with_ctes(ship, "ship_windows"),
         "windowed_alert_metrics": with_ctes(alert, "alert_windows"),
         "window_risk_class": with_ctes(risk, "ship_windows", "alerts"),

@@ -38,7 +38,7 @@ def finished(spark, tmp_path_factory):
 
 
 def test_all_sections_are_filled(finished):
-    assert len(finished[1]) == 11 and set(finished[1].values()) == {"ok"}
+    assert len(finished[1]) == 14 and set(finished[1].values()) == {"ok"}
 
 
 def test_tables(finished):

@@ -292,3 +292,25 @@ def test_no_orders_gives_full_service(spark, dims):
     voyages = spark.createDataFrame([], "eta_hours_estimate double")
     row = kpis.control_tower(stock.stock_context(dims["dim_articles_valladolid"], stock.order_totals(orders)), voyages, orders, options).first()
     assert (row.otif, row.best_mode, row.eta_avg, row.critical_refs) == (100.0, "N/A", 0.0, 1)
+
+
+def test_article_flights_use_each_articles_own_rupture(spark, dims):
+    context = spark.createDataFrame([("now", 0.0), ("soon", 15.0), ("later", 300.0), ("unknown", None)], "article_ref string, hours_to_stockout double")
+    rows = contingency.article_flights(context, dims["dim_flights"], as_of()).collect()
+    verdicts = {(r.article_ref, r.flight_number): r.recommendation for r in rows}
+    assert len(rows) == 16 and {v for (a, _), v in verdicts.items() if a in ("now", "unknown")} == {"NO LLEGA"}
+    # The cheapest flight lands too late for this article, so none of the others is optimal.
+    assert {f: v for (a, f), v in verdicts.items() if a == "soon"} == {
+        "AF9632": "VIABLE", "LH8440": "NO LLEGA", "QR8115": "NO LLEGA", "DHL4567": "NO LLEGA"}
+    assert verdicts["later", "DHL4567"] == "ÓPTIMA"
+    best = {r.article_ref: (r.flight_number, r.flights_in_time)
+            for r in contingency.article_best_flight(context, dims["dim_flights"], as_of()).collect()}
+    assert best == {"now": (None, 0), "soon": ("AF9632", 1), "later": ("DHL4567", 4), "unknown": (None, 0)}
+
+
+def test_route_alerts_hold_one_row_per_port(spark, dims):
+    rows = [("Shanghai", "Valencia", 4.5, "ALTO", 90.0, 5), ("Yokohama", "Valencia", 4.5, "ALTO", 95.0, 5),
+            ("Shanghai", "Algeciras", 1.0, "BAJO", 90.0, 2)]
+    facts = spark.createDataFrame(rows, "origin_port string, via_port string, risk_score double, risk_level string, estimated_total_hours double, severity int")
+    found = alerts.route_alerts(facts.withColumn("recommendation", F.lit("x")), dims["dim_ports"], as_of()).collect()
+    assert [(r.dest_port, r.severity, r.email_sent) for r in found] == [("Valencia", 5, False)]
