@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.session import shared_dir
@@ -48,6 +48,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def stored_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows, counted by the job that writes them."""
+    seen = Observation()
+    rows = stored(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return rows, seen.get.get("rows", 0)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
